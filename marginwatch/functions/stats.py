@@ -1,132 +1,160 @@
-"""Exact order statistics that no single task has to hold.
-
-`order_stats` is the one primitive: the cumulative distribution of a column, one row per
-(group, distinct value). Equal values collapse map-side first, then every group is cut at
-approximate quantiles of all values, so a window task sees about 1/buckets of the distinct
-values however large one group is. The cut points only spread the work; ranks, medians
-and percentiles read from the result are exact.
+"""Exact order statistics at two sizes.
+
+A table that a count shows to be small is ranked with plain windows: one shuffle, no joins.
+Anything larger goes through `order_stats`, the cumulative distribution of a column with one
+row per (group, distinct value). Equal values collapse map-side first, then every group is
+cut at approximate quantiles of all values, so a window task sees about 1/BUCKETS of the
+distinct values however large one group is. The cuts only spread the work: both ways give
+the same exact ranks, medians and percentiles.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 32
+SMALL_ROWS = 250_000     # rows one window task may hold
+
+
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    """A count of the input, which callers hand over as a written table."""
+    return df.count() <= (SMALL_ROWS if limit is None else limit)
 
 
-def _locate(value: Column, cuts: Column, lo: int, hi: int) -> Column:
-    """Index of the first cut that is >= value, by halving: log2(buckets) comparisons a row."""
+def _over(by: Sequence[str], order: str = "") -> str:
+    part = f"partition by {', '.join(by)} " if by else ""
+    return f"({part}{'order by ' + order if order else ''})"
+
+
+# ------------------------------------------------------------------ distributed distribution
+def _locate(lo: int, hi: int, value: str) -> str:
+    """Index of the first cut >= value, by halving: log2(BUCKETS) comparisons a row."""
     if lo == hi:
-        return F.lit(lo)
+        return str(lo)
     mid = (lo + hi) // 2
-    return F.when(value <= cuts[mid], _locate(value, cuts, lo, mid)).otherwise(_locate(value, cuts, mid + 1, hi))
+    return f"case when {value} <= _cuts[{mid}] then {_locate(lo, mid, value)} else {_locate(mid + 1, hi, value)} end"
 
 
 def order_stats(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
     """by..., `value`, ties (rows holding it), less (rows of the group below it), n (rows of
     the group). Null values are left out; `by` columns must not be null."""
     by = list(by)
-    hist = (df.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
-            .groupBy(*by, value).agg(F.count(F.lit(1)).alias("ties")))
-    marks = [i / buckets for i in range(1, buckets)]
-    cuts = hist.agg(F.percentile_approx(value, marks, 100 * buckets).alias("cuts")).scalar()
+    hist = (df.where(f"{value} is not null").selectExpr(*by, f"cast({value} as double) as {value}")
+            .groupBy(*by, value).agg(F.expr("count(1) as ties")))
+    marks = ", ".join(str(i / buckets) for i in range(1, buckets))
+    cuts = hist.agg(F.expr(f"percentile_approx({value}, array({marks}), {100 * buckets})")).scalar()
     placed = (hist.withColumn("_cuts", cuts)
-              .withColumn("_b", F.coalesce(_locate(F.col(value), F.col("_cuts"), 0, buckets - 1), F.lit(0)))
-              .drop("_cuts"))
-    totals = placed.groupBy(*by, "_b").agg(F.sum("ties").alias("_t"))
+              .selectExpr(*by, value, "ties", f"coalesce({_locate(0, buckets - 1, value)}, 0) as _b"))
     # At most `buckets` rows per group from here on.
-    group = Window.partitionBy(*by)
-    offsets = totals.select(*by, "_b",
-                            (F.sum("_t").over(group.orderBy("_b")) - F.col("_t")).alias("_before"),
-                            F.sum("_t").over(group).alias("n"))
-    inside = Window.partitionBy(*by, "_b").orderBy(value)
-    return (placed.join(offsets, by + ["_b"])
-            .withColumn("less", F.col("_before") + F.sum("ties").over(inside) - F.col("ties"))
-            .select(*by, value, "ties", "less", "n"))
+    offsets = placed.groupBy(*by, "_b").agg(F.expr("sum(ties) as _t")).selectExpr(
+        *by, "_b", f"sum(_t) over {_over(by, '_b')} - _t as _before", f"sum(_t) over {_over(by)} as n")
+    return placed.join(offsets, by + ["_b"]).selectExpr(
+        *by, value, "ties", f"_before + sum(ties) over {_over([*by, '_b'], value)} - ties as less", "n")
 
 
-def _at(position: Column, value: str) -> Column:
-    """Aggregate: the value at a 0-based position of the sorted group."""
-    return F.max(F.when((F.col("less") <= position) & (position < F.col("less") + F.col("ties")), F.col(value)))
+def _at(position: str, value: str) -> str:
+    """Aggregate text: the value at a 0-based position of the sorted group."""
+    return f"max(case when less <= {position} and {position} < less + ties then {value} end)"
 
 
-def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (),
-              kind: str = "linear") -> DataFrame:
-    """One row per group: n and one column per name in `probs`. kind `linear` interpolates at
-    p*(n-1) like numpy and SQL percentile_cont; `index` takes the element floor(p*n)."""
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), kind: str = "linear") -> DataFrame:
+    """One row per group: n and one column per name in `probs`, by the distributed way. `linear`
+    interpolates at p*(n-1); `index` takes the element floor(p*n)."""
     stats = order_stats(df, value, by)
-    n = F.col("n")
-    aggs = [F.max("n").alias("n")]
+    aggs, outs = ["max(n) as n"], []
     for name, p in probs.items():
         if kind == "linear":
-            pos = F.lit(float(p)) * (n - 1)
-            aggs += [_at(F.floor(pos), value).alias(f"_lo_{name}"), _at(F.ceil(pos), value).alias(f"_hi_{name}")]
+            pos = f"({float(p)}D * (n - 1))"
+            aggs += [f"{_at(f'floor{pos}', value)} as _lo_{name}", f"{_at(f'ceil{pos}', value)} as _hi_{name}"]
+            outs.append(f"_lo_{name} + (_hi_{name} - _lo_{name}) * ({pos} - floor{pos}) as {name}")
         else:
-            aggs.append(_at(F.least(F.floor(F.lit(float(p)) * n), n - 1), value).alias(name))
-    out = stats.groupBy(*by).agg(*aggs)
-    if kind == "linear":
-        for name, p in probs.items():
-            pos = F.lit(float(p)) * (n - 1)
-            lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-            out = out.withColumn(name, lo + (hi - lo) * (pos - F.floor(pos)))
-    return out.select(*by, "n", *probs)
-
-
-def robust_baseline(df: DataFrame, value: str, min_scale: Column, by: Sequence[str]) -> DataFrame:
-    """by..., median, scale = max(1.4826 * MAD, min_scale), peers. `by` is a small set of
-    configured names (checks, score components), never data keys: the side that is broadcast
-    below has one row per name. `min_scale` may depend on the `by` columns."""
+            aggs.append(f"{_at(f'least(floor({float(p)}D * n), n - 1)', value)} as {name}")
+            outs.append(name)
+    return stats.groupBy(*by).agg(*map(F.expr, aggs)).selectExpr(*by, "n", *outs)
+
+
+# ------------------------------------------------------------------ columns added to rows
+def with_quantiles(df: DataFrame, specs: dict[str, tuple[str, float]], by: Sequence[str] = (), small: bool | None = None) -> DataFrame:
+    """Add one column per spec (expression, p): the group's interpolated percentile on each row."""
+    by = list(by)
+    if is_small(df) if small is None else small:
+        return df.selectExpr("*", *[f"percentile({e}, {float(p)}D) over {_over(by)} as {out}" for out, (e, p) in specs.items()])
+    out = df
+    for name, (e, p) in specs.items():
+        q = quantiles(df.selectExpr(*by, f"{e} as _v"), "_v", {name: p}, by).drop("n")
+        out = out.join(q, by, "left") if by else out.withColumn(name, q.scalar())
+    return out
+
+
+def with_baseline(df: DataFrame, value: str, min_scale: str, by: Sequence[str], small: bool | None = None) -> DataFrame:
+    """Add median, scale = max(1.4826 * MAD, min_scale) and peers of the row's group. `by` names
+    configured things (checks, components), never data keys, so the medians that are broadcast
+    below are one row per configuration entry. Rows must have a value."""
     by = list(by)
-    med = quantiles(df, value, {"median": 0.5}, by)
-    dev = (df.where(F.col(value).isNotNull()).join(F.broadcast(med), by)
-           .select(*by, F.abs(F.col(value).cast("double") - F.col("median")).alias("_dev")))
-    mad = quantiles(dev, "_dev", {"mad": 0.5}, by).drop("n")
-    return (med.join(F.broadcast(mad), by)
-            .select(*by, "median", F.greatest(F.lit(1.4826) * F.col("mad"), min_scale).alias("scale"),
-                    F.col("n").alias("peers")))
-
-
-def melt(df: DataFrame, ids: Sequence[str], columns: dict[str, Column], name: str = "component",
-         value: str = "value") -> DataFrame:
-    """Long form: one row per (row, named column), so several columns share one pass."""
-    items = F.array(*[F.struct(F.lit(k).alias(name), c.cast("double").alias(value)) for k, c in columns.items()])
-    return df.select(*ids, F.explode(items).alias("_i")).select(*ids, f"_i.{name}", f"_i.{value}")
-
-
-def pct_ranks(df: DataFrame, key: str, specs: dict[str, tuple[Column, bool]], by: Sequence[str] = ()) -> DataFrame:
-    """Add one column per spec: percentile rank 0..1 of a column with tied ranks averaged, over
-    all rows or per `by` group; (expression, higher_is_better). Null, or a group with at most
-    one value, scores 0.5. `key` is the unique key of `df`."""
+    if is_small(df) if small is None else small:
+        out = df.selectExpr("*", f"percentile({value}, 0.5D) over {_over(by)} as median", f"count(1) over {_over(by)} as peers")
+        out = out.selectExpr("*", f"percentile(abs({value} - median), 0.5D) over {_over(by)} as _mad")
+    else:
+        med = quantiles(df.select(*by, value), value, {"median": 0.5}, by).withColumnRenamed("n", "peers")
+        dev = df.select(*by, value).join(F.broadcast(med), by).selectExpr(*by, f"abs({value} - median) as _dev")
+        mad = quantiles(dev, "_dev", {"_mad": 0.5}, by).drop("n")
+        out = df.join(F.broadcast(med), by).join(F.broadcast(mad), by)
+    return out.selectExpr("*", f"greatest(1.4826D * _mad, {min_scale}) as scale").drop("_mad")
+
+
+def melt(df: DataFrame, ids: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """ids..., component, value: one row per (row, named expression), so several columns share a pass."""
+    items = ", ".join(f"named_struct('component', '{k}', 'value', cast({e} as double))" for k, e in columns.items())
+    return df.selectExpr(*ids, f"inline(array({items}))")
+
+
+def with_pct_ranks(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]], by: Sequence[str] = (), small: bool | None = None) -> DataFrame:
+    """Add one column per spec (expression, higher_is_better): percentile rank 0..1 with tied
+    ranks averaged, over all rows or per `by` group. Null, or a group with at most one value,
+    scores 0.5. `key` is the unique key of `df`."""
     by = list(by)
-    long = melt(df, [key, *by], {k: c for k, (c, _) in specs.items()})
+    if is_small(df) if small is None else small:
+        ranks = []
+        for out, (e, higher) in specs.items():
+            n = f"count({e}) over {_over(by)}"
+            rank = f"rank() over {_over(by, f'{e} nulls last')}"
+            ties = f"count(1) over {_over([*by, e])}"
+            r = f"({rank} + ({ties} - 1) / 2 - 1) / ({n} - 1)"
+            ranks.append(f"case when {e} is null or {n} <= 1 then 0.5D else {r if higher else f'1 - {r}'} end as {out}")
+        return df.selectExpr("*", *ranks)
+    long = melt(df, [key, *by], {k: e for k, (e, _) in specs.items()})
     stats = order_stats(long, "value", ["component", *by])
-    rank = (F.col("less") + (F.col("ties") + 1) / 2 - 1) / (F.col("n") - 1)
-    higher = F.col("component").isin([k for k, (_, h) in specs.items() if h])
-    ranked = (long.where(F.col("value").isNotNull()).join(stats, ["component", *by, "value"])
-              .select(key, "component", F.when(F.col("n") <= 1, 0.5).when(higher, rank).otherwise(1 - rank).alias("r"))
-              .groupBy(key).agg(*[F.max(F.when(F.col("component") == k, F.col("r"))).alias(f"_r_{k}") for k in specs]))
-    out = df.join(ranked, key, "left")
-    for k in specs:
-        out = out.withColumn(k, F.coalesce(F.col(f"_r_{k}"), F.lit(0.5))).drop(f"_r_{k}")
-    return out
+    higher = ", ".join(f"'{k}'" for k, (_, h) in specs.items() if h) or "''"
+    rank = "(less + (ties + 1) / 2 - 1) / (n - 1)"
+    ranked = (long.where("value is not null").join(stats, ["component", *by, "value"])
+              .selectExpr(key, "component", f"case when n <= 1 then 0.5D when component in ({higher}) then {rank} else 1 - {rank} end as r")
+              .groupBy(key).agg(*[F.expr(f"max(case when component = '{k}' then r end) as _r_{k}") for k in specs]))
+    return df.join(ranked, key, "left").selectExpr(*df.columns, *[f"coalesce(_r_{k}, 0.5D) as {k}" for k in specs])
 
 
-def robust_components(df: DataFrame, key: str, specs: dict[str, dict], z_cap: float = 3.0) -> DataFrame:
+def with_robust_components(df: DataFrame, key: str, specs: dict[str, dict], z_cap: float = 3.0, small: bool | None = None) -> DataFrame:
     """Add spec["out"] for each metric: 0.5 + 0.5*clip(z/z_cap, -1, 1), z against the peers'
     median/MAD, flipped where lower is better; 0.5 for null or fewer than three values."""
-    long = melt(df, [key], {m: F.col(m) for m in specs})
-    floor = F.coalesce(*[F.when(F.col("component") == m, F.lit(float(s["min_scale"]))) for m, s in specs.items()])
-    base = robust_baseline(long, "value", floor, ["component"])
-    # One row per configured component, folded into a single map.
-    lookup = base.agg(F.map_from_entries(F.collect_list(F.struct(
-        "component", F.struct("median", "scale", "peers")))).alias("m")).scalar()
-    out = df.withColumn("_base", lookup)
+    if is_small(df) if small is None else small:
+        out = df.selectExpr("*", *[f"percentile({m}, 0.5D) over () as _med_{m}" for m in specs], *[f"count({m}) over () as _n_{m}" for m in specs])
+        out = out.selectExpr("*", *[f"percentile(abs({m} - _med_{m}), 0.5D) over () as _mad_{m}" for m in specs])
+    else:
+        long = melt(df, [key], {m: m for m in specs}).where("value is not null")
+        med = quantiles(long, "value", {"median": 0.5}, ["component"])
+        dev = long.join(F.broadcast(med), "component").selectExpr("component", "abs(value - median) as _dev")
+        mad = quantiles(dev, "_dev", {"mad": 0.5}, ["component"]).drop("n")
+        # One row per configured component, folded into a single map.
+        lookup = med.join(F.broadcast(mad), "component").agg(
+            F.expr("map_from_entries(collect_list(struct(component, struct(median, mad, n))))")).scalar()
+        out = df.withColumn("_base", lookup).selectExpr(
+            "*", *[f"_base['{m}'].median as _med_{m}" for m in specs], *[f"_base['{m}'].n as _n_{m}" for m in specs],
+            *[f"_base['{m}'].mad as _mad_{m}" for m in specs])
+    scores = []
     for m, s in specs.items():
-        b = F.col("_base")[m]
-        z = (F.col(m).cast("double") - b["median"]) / b["scale"] / F.lit(float(z_cap)) * (1 if s["higher_is_better"] else -1)
-        score = F.when(b["peers"] >= 3, 0.5 + 0.5 * F.greatest(F.lit(-1.0), F.least(F.lit(1.0), z)))
-        score = F.when(F.col(m).isNull(), 0.5).otherwise(F.coalesce(score, F.lit(0.5)))
-        out = out.withColumn(s["out"], score)
-    return out.drop("_base")
+        sign = "" if s["higher_is_better"] else "-"
+        z = f"{sign}({m} - _med_{m}) / greatest(1.4826D * _mad_{m}, {float(s['min_scale'])}D) / {float(z_cap)}D"
+        scores.append(f"case when {m} is null or coalesce(_n_{m}, 0) < 3 then 0.5D "
+                      f"else 0.5D + 0.5D * greatest(-1D, least(1D, {z})) end as {s['out']}")
+    return out.selectExpr(*df.columns, *scores)

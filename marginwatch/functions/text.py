@@ -1,9 +1,6 @@
-"""Sentences for findings, built as column expressions."""
+"""Sentences for findings, as SQL expression text over named columns."""
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # How each metric is named and shown, and what its sample is counted in.
 METRIC_LABEL = {
     "discount_rate": "discount rate",
@@ -25,75 +22,51 @@ PEER_NOUN = {"branch": "branches", "product": "products", "supplier": "suppliers
 UNIT_NOUN = {"sale_events": "sales", "adjustment_events": "stock adjustments", "purchase_events": "purchases"}
 
 
-def label(entity: str, key: Column, detail: Column | None) -> Column:
+def label(key: str, detail: str | None) -> str:
     """`BR07 (Lahore)`, `P0001 (Grocery)`; the bare id where there is no detail."""
-    if entity == "supplier" or detail is None:
-        return key
-    return F.when(detail.isNotNull(), F.concat(key, F.lit(" ("), detail, F.lit(")"))).otherwise(key)
-
-
-def _fmt(pattern: str, *cols: Column) -> Column:
-    return F.format_string(pattern, *cols)
-
-
-def value_text(kind: Column, v: Column) -> Column:
-    return (F.when(kind == "pct", _fmt("%.1f%%", v * 100))
-            .when(kind == "pct_signed", _fmt("%+.1f%%", v * 100))
-            .when(kind == "units", _fmt("%.1f units", v))
-            .otherwise(F.format_number(v, 2)))
-
-
-def gap_text(kind: Column, gap: Column, direction: Column) -> Column:
-    word = F.when(direction == "high", "higher").otherwise("lower")
-    return (F.when(kind.isin("pct", "pct_signed"), _fmt("%.1f percentage points %s", gap * 100, word))
-            .when(kind == "units", _fmt("%.1f units %s", gap, word))
-            .otherwise(F.concat_ws(" ", F.format_number(gap, 2), word)))
-
-
-def money(currency: str, amount: Column) -> Column:
-    return F.concat(F.lit(currency + " "), F.format_number(amount, 0))
-
-
-def explain_peer(c: dict[str, Column], years: Column, currency: str) -> Column:
-    """c: label, metric_label, kind, direction, observed, baseline, gap, z, severity, n,
-    n_noun, peers, peer_noun, exposure, annualised."""
-    head = F.concat(
-        c["label"], F.lit(": "), c["metric_label"], F.lit(" is "), value_text(c["kind"], c["observed"]),
-        F.lit(" against a peer median of "), value_text(c["kind"], c["baseline"]), F.lit(" across "),
-        c["peers"].cast("string"), F.lit(" "), c["peer_noun"], F.lit(" ("),
-        gap_text(c["kind"], c["gap"], c["direction"]), _fmt("; robust z = %.1f, ", c["z"]), c["severity"],
-        F.lit(" severity)."))
-    sample = F.concat(F.lit("Based on "), F.format_number(c["n"], 0), F.lit(" "), c["n_noun"], F.lit("."))
-    cost = F.when(c["exposure"] > 0, F.concat(
-        F.lit("Estimated exposure: "), money(currency, c["exposure"]), _fmt(" over %.1f years", years),
-        F.when(c["annualised"] != 0, F.concat(F.lit(" (about "), money(currency, c["annualised"]), F.lit(" a year).")))
-        .otherwise(".")))
-    return F.concat_ws(" ", head, sample, cost)
-
-
-def explain_temporal(c: dict[str, Column], recent_months: int) -> Column:
-    """c: label, metric_label, kind, direction, recent, baseline, spread, gap, z, severity, baseline_months."""
-    return F.concat(
-        c["label"], F.lit(": "), c["metric_label"], F.lit(" averaged "), value_text(c["kind"], c["recent"]),
-        F.lit(f" over the last {recent_months} months, versus "), value_text(c["kind"], c["baseline"]),
-        F.lit(" (typical monthly variation "), value_text(c["kind"], c["spread"]), F.lit(") in the "),
-        c["baseline_months"].cast("string"), F.lit(" months before: "),
-        gap_text(c["kind"], c["gap"], c["direction"]), F.lit(" than its own history (z = "),
-        _fmt("%.1f, ", c["z"]), c["severity"], F.lit(" severity)."))
-
-
-def explain_stockout(velocity: Column, velocity_rank: Column, replenishment: Column, days_since_purchase: Column,
-                     velocity_days: int, window_days: int) -> Column:
-    """Parts without data are skipped; the first letter is upper case and the rest lower."""
-    text = F.concat_ws(
-        "; ",
-        F.when(velocity.isNotNull(), _fmt(
-            f"sells %.1f units/day over the last {velocity_days} days (faster than %.0f%% of products)",
-            velocity, velocity_rank * 100)),
-        F.when(replenishment.isNotNull(), _fmt(
-            f"only %.0f%% of units sold in the last {window_days} days were replenished by purchases",
-            replenishment * 100)),
-        F.when(days_since_purchase.isNotNull(), F.concat(
-            F.lit("last purchase was "), days_since_purchase.cast("string"), F.lit(" days ago"))))
-    sentence = F.concat(F.upper(F.substring(text, 1, 1)), F.lower(F.substring(text, F.lit(2), F.length(text))), F.lit("."))
-    return F.when(text == "", "Insufficient movement data.").otherwise(sentence)
+    return key if detail is None else f"coalesce(concat({key}, ' (', {detail}, ')'), {key})"
+
+
+def value_text(v: str) -> str:
+    return (f"case kind when 'pct' then format_string('%.1f%%', {v} * 100) when 'pct_signed' then format_string('%+.1f%%', {v} * 100) "
+            f"when 'units' then format_string('%.1f units', {v}) else format_number({v}, 2) end")
+
+
+def gap_text() -> str:
+    word = "case direction when 'high' then 'higher' else 'lower' end"
+    return (f"case when kind in ('pct', 'pct_signed') then format_string('%.1f percentage points %s', gap * 100, {word}) "
+            f"when kind = 'units' then format_string('%.1f units %s', gap, {word}) "
+            f"else concat(format_number(gap, 2), ' ', {word}) end")
+
+
+def explain_peer(currency: str) -> str:
+    """Over: entity_label, metric_label, kind, direction, value, median, gap, z, severity, n, n_noun,
+    peers, peer_noun, estimated_exposure, annualised_exposure, years."""
+    head = (f"concat(entity_label, ': ', metric_label, ' is ', {value_text('value')}, ' against a peer median of ', "
+            f"{value_text('median')}, ' across ', string(peers), ' ', peer_noun, ' (', {gap_text()}, "
+            f"format_string('; robust z = %.1f, ', z), severity, ' severity).')")
+    sample = "concat('Based on ', format_number(n, 0), ' ', n_noun, '.')"
+    cost = (f"case when estimated_exposure > 0 then concat('Estimated exposure: {currency} ', format_number(estimated_exposure, 0), "
+            f"format_string(' over %.1f years', years), case when annualised_exposure <> 0 then "
+            f"concat(' (about {currency} ', format_number(annualised_exposure, 0), ' a year).') else '.' end) end")
+    return f"concat_ws(' ', {head}, {sample}, {cost})"
+
+
+def explain_temporal(recent_months: int) -> str:
+    """Over: entity_label, metric_label, kind, direction, recent, base_mean, spread, gap, z, severity, baseline_months."""
+    return (f"concat(entity_label, ': ', metric_label, ' averaged ', {value_text('recent')}, ' over the last {recent_months} months, versus ', "
+            f"{value_text('base_mean')}, ' (typical monthly variation ', {value_text('spread')}, ') in the ', string(baseline_months), "
+            f"' months before: ', {gap_text()}, ' than its own history (z = ', format_string('%.1f, ', z), severity, ' severity).')")
+
+
+def explain_stockout(velocity_days: int, window_days: int) -> str:
+    """Over: velocity_per_day, pct_velocity, replenishment_ratio, days_since_last_purchase. Parts
+    without data are skipped; the first letter is upper case and the rest lower."""
+    pace = (f"case when velocity_per_day is not null then format_string('sells %.1f units/day over the last {velocity_days} days "
+            f"(faster than %.0f%% of products)', velocity_per_day, pct_velocity * 100) end")
+    cover = (f"case when replenishment_ratio is not null then format_string('only %.0f%% of units sold in the last {window_days} days "
+             f"were replenished by purchases', replenishment_ratio * 100) end")
+    last = "concat('last purchase was ', string(days_since_last_purchase), ' days ago')"
+    parts = f"concat_ws('; ', {pace}, {cover}, {last})"
+    return (f"case when {parts} = '' then 'Insufficient movement data.' "
+            f"else concat(upper(substr({parts}, 1, 1)), lower(substr({parts}, 2)), '.') end")

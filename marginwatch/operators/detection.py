@@ -1,23 +1,24 @@
 """Outlier checks over entity and monthly tables.
 
 All peer checks run as one long table (check, entity, value, sample, base), so the medians of
-every check come from the same few shuffles; the same holds for the temporal checks. A new
-check is a new configuration entry.
+every check come from the same shuffle; the same holds for the temporal checks. A new check is
+a new configuration entry.
 """
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.stats import robust_baseline
+from ..functions.stats import with_baseline
 
 ID = {"branch": "branch_id", "product": "product_id", "supplier": "supplier_id"}
 LABEL_DETAIL = {"branch": "city", "product": "category", "supplier": None}
 MIN_PEERS = 5
-SEVERITY_RANK = {"medium": 1, "high": 2, "critical": 3}      # fixed values
+SEVERITIES = ["medium", "high", "critical"]      # fixed order, mildest first
 
 ANOMALY_COLUMNS = {
     "anomaly_id": "string", "as_of_date": "date", "detection_method": "string", "check_id": "string",
@@ -29,167 +30,128 @@ ANOMALY_COLUMNS = {
 }
 
 
-def severity(z: Column, medium: Column, high: Column, critical: Column) -> Column:
-    return (F.when(z >= critical, "critical").when(z >= high, "high").when(z >= medium, "medium"))
+def severity(z: str, medium: str, high: str, critical: str) -> str:
+    """Inclusive thresholds; null below the lowest."""
+    return f"case when {z} >= {critical} then 'critical' when {z} >= {high} then 'high' when {z} >= {medium} then 'medium' end"
 
 
-def severity_rank(col: Column) -> Column:
-    return reduce(lambda acc, kv: acc.when(col == kv[0], kv[1]), SEVERITY_RANK.items(), F.when(F.lit(False), 0))
+def years(period_start: date, period_end: date) -> float:
+    return max((period_end - period_start).days, 1) / 365.0
 
 
-def _conform(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in ANOMALY_COLUMNS.items()])
+def _struct(values: dict[str, object]) -> str:
+    def lit(v: object) -> str:
+        return "cast(null as string)" if v is None else f"{float(v)}D" if isinstance(v, (int, float)) else f"'{v}'"
+    return ", ".join(f"'{k}', {lit(v)}" for k, v in values.items())
 
 
-def _explode(df: DataFrame, ids: list[Column], items: list[Column]) -> DataFrame:
-    return df.select(*ids, F.explode(F.array(*items)).alias("_c")).select("*", "_c.*").drop("_c")
+def _long(df: DataFrame, entity: str, keep: list[str], items: list[str]) -> DataFrame:
+    detail = LABEL_DETAIL[entity] if LABEL_DETAIL[entity] in df.columns else None
+    return df.selectExpr(f"'{entity}' as entity_type", f"{ID[entity]} as entity_id",
+                         f"{text.label(ID[entity], detail)} as entity_label", *keep,
+                         f"inline(array({', '.join(f'named_struct({i})' for i in items)}))")
 
 
-def _labelled(df: DataFrame, entity: str) -> Column:
-    detail = LABEL_DETAIL[entity]
-    return text.label(entity, F.col(ID[entity]), F.col(detail) if detail and detail in df.columns else None)
+def _conform(df: DataFrame, **columns: str) -> DataFrame:
+    return df.selectExpr(*[f"cast({columns.get(c, c)} as {t}) as {c}" for c, t in ANOMALY_COLUMNS.items()])
 
 
 # ------------------------------------------------------------------ peer comparison
 def peer_candidates(features: dict[str, DataFrame], cfg: dict) -> DataFrame:
     """Eligible (check, entity) pairs: metric present and sample at least min_n."""
-    default = cfg["anomaly"]["severity_z"]
     parts = []
-    for entity in ID:
-        checks = [c for c in cfg["anomaly"]["peer_checks"] if c["entity"] == entity]
-        if not checks or entity not in features:
-            continue
-        df = features[entity]
+    for entity, df in features.items():
         items = []
-        for c in checks:
-            z = c.get("severity_z", default)
+        for c in (c for c in cfg["anomaly"]["peer_checks"] if c["entity"] == entity):
+            z = c.get("severity_z", cfg["anomaly"]["severity_z"])
             base = c.get("exposure_base")
-            lits = {"check_id": c["id"], "metric": c["metric"], "direction": c["direction"],
-                    "metric_label": text.METRIC_LABEL.get(c["metric"], c["metric"]),
-                    "kind": text.METRIC_KIND.get(c["metric"], "number"),
-                    "n_noun": text.UNIT_NOUN.get(c["n_col"], "events"), "peer_noun": text.PEER_NOUN[entity],
-                    "exposure_column": base, "leakage_type": c.get("leakage_type")}
-            nums = {"min_scale": c["min_scale"], "min_abs_effect": c["min_abs_effect"], "min_n": c["min_n"],
-                    "z_medium": z["medium"], "z_high": z["high"], "z_critical": z["critical"]}
-            items.append(F.struct(
-                *[F.lit(v).cast("string").alias(k) for k, v in lits.items()],
-                *[F.lit(float(v)).alias(k) for k, v in nums.items()],
-                F.col(c["metric"]).cast("double").alias("value"), F.col(c["n_col"]).cast("bigint").alias("n"),
-                (F.col(base).cast("double") if base in df.columns else F.lit(None).cast("double")).alias("base")))
-        parts.append(_explode(df, [F.lit(entity).alias("entity_type"), F.col(ID[entity]).alias("entity_id"),
-                                   _labelled(df, entity).alias("entity_label")], items))
-    return reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull() & (F.col("n") >= F.col("min_n")))
-
-
-def _with_baseline(cand: DataFrame, cfg: dict) -> DataFrame:
-    floor = F.coalesce(*[F.when(F.col("check_id") == c["id"], F.lit(float(c["min_scale"])))
-                         for c in cfg["anomaly"]["peer_checks"]])
-    # One row per configured check, so the broadcast side is bounded by the configuration.
-    return cand.join(F.broadcast(robust_baseline(cand, "value", floor, ["check_id"])), "check_id")
-
-
-def peer_points(features: dict[str, DataFrame], cfg: dict) -> DataFrame:
-    """Every eligible peer of every check with the check's median, scale and z: the peer strip."""
-    return (_with_baseline(peer_candidates(features, cfg), cfg)
-            .select("check_id", "entity_type", "entity_id", "metric", "direction", "value", "n", "median", "scale",
-                    "peers", F.col("z_medium").alias("threshold_z")))
-
-
-def detect_peer(features: dict[str, DataFrame], cfg: dict, period_start: Column, day: Column) -> DataFrame:
+            items.append(_struct({
+                "check_id": c["id"], "metric": c["metric"], "direction": c["direction"], "leakage_type": c.get("leakage_type"),
+                "metric_label": text.METRIC_LABEL.get(c["metric"], c["metric"]), "kind": text.METRIC_KIND.get(c["metric"], "number"),
+                "n_noun": text.UNIT_NOUN.get(c["n_col"], "events"), "peer_noun": text.PEER_NOUN[entity], "exposure_column": base,
+                "min_scale": c["min_scale"], "min_abs_effect": c["min_abs_effect"], "min_n": c["min_n"],
+                "z_medium": z["medium"], "z_high": z["high"], "z_critical": z["critical"]})
+                + f", 'value', double({c['metric']}), 'n', bigint({c['n_col']}), "
+                + f"'base', {f'double({base})' if base in df.columns else 'cast(null as double)'}")
+        if items:
+            parts.append(_long(df, entity, [], items))
+    return reduce(DataFrame.unionByName, parts).where("value is not null and n >= min_n")
+
+
+def peer_points(features: dict[str, DataFrame], cfg: dict, small: bool | None = None) -> DataFrame:
+    """Every eligible peer of every check with the check's median, scale and number of peers."""
+    return with_baseline(peer_candidates(features, cfg), "value", "min_scale", ["check_id"], small)
+
+
+def detect_peer(features: dict[str, DataFrame], cfg: dict, period_start: date, day: date, small: bool | None = None) -> DataFrame:
     """Entities whose oriented gap to the peer median is both many robust deviations and large
     enough to matter, with the money at stake. Fewer than five peers give no baseline."""
-    years = F.greatest(F.datediff(day, period_start), F.lit(1)) / F.lit(365.0)
-    gap = F.when(F.col("direction") == "high", F.col("value") - F.col("median")).otherwise(F.col("median") - F.col("value"))
-    found = (_with_baseline(peer_candidates(features, cfg), cfg).where(F.col("peers") >= MIN_PEERS)
-             .withColumn("gap", gap).withColumn("z", F.col("gap") / F.col("scale"))
-             .withColumn("severity", severity(F.col("z"), F.col("z_medium"), F.col("z_high"), F.col("z_critical")))
-             .where(F.col("severity").isNotNull() & (F.col("gap") >= F.col("min_abs_effect")))
-             .withColumn("period_start", period_start).withColumn("as_of_date", day).withColumn("years", years)
-             .withColumn("estimated_exposure", F.round(F.col("gap") * F.col("base"), 2))
-             .withColumn("annualised_exposure", F.round(F.col("estimated_exposure") / F.col("years"), 2)))
-    words = {"label": "entity_label", "observed": "value", "baseline": "median", "exposure": "estimated_exposure",
-             "annualised": "annualised_exposure"}
-    cols = {k: F.col(words.get(k, k)) for k in ["label", "metric_label", "kind", "direction", "observed", "baseline", "gap", "z",
-                                                "severity", "n", "n_noun", "peers", "peer_noun", "exposure", "annualised"]}
-    return _conform(found.select(
-        F.concat_ws(":", "check_id", "entity_id").alias("anomaly_id"), "as_of_date", F.lit("PEER").alias("detection_method"),
-        "check_id", "entity_type", "entity_id", "entity_label", "metric", "direction", F.col("value").alias("observed_value"),
-        F.col("median").alias("baseline_value"), F.col("scale").alias("baseline_spread"), F.round("z", 2).alias("robust_z"),
-        "severity", F.col("n").alias("sample_size"), "estimated_exposure", "annualised_exposure", "leakage_type",
-        "period_start", F.col("as_of_date").alias("period_end"),
-        text.explain_peer(cols, F.col("years"), cfg["currency"]).alias("explanation"),
-        F.to_json(F.struct(F.col("median").alias("peer_median"), F.col("scale").alias("peer_scale"), "peers", "gap",
-                           F.col("exposure_column").alias("exposure_base_column"), F.col("base").alias("exposure_base")),
-                  {"ignoreNullFields": "false"}).alias("evidence")))
+    span = years(period_start, day)
+    found = (peer_points(features, cfg, small).where(f"peers >= {MIN_PEERS}")
+             .selectExpr("*", "case direction when 'high' then value - median else median - value end as gap")
+             .selectExpr("*", "gap / scale as z")
+             .selectExpr("*", f"{severity('z', 'z_medium', 'z_high', 'z_critical')} as severity")
+             .where("severity is not null and gap >= min_abs_effect")
+             .selectExpr("*", "round(gap * base, 2) as estimated_exposure", f"{span!r}D as years")
+             .selectExpr("*", "round(estimated_exposure / years, 2) as annualised_exposure"))
+    evidence = ("to_json(struct(median as peer_median, scale as peer_scale, peers, gap, exposure_column as exposure_base_column, "
+                "base as exposure_base), map('ignoreNullFields', 'false'))")
+    return _conform(found, anomaly_id="concat(check_id, ':', entity_id)", as_of_date=f"date'{day}'", detection_method="'PEER'",
+                    observed_value="value", baseline_value="median", baseline_spread="scale", robust_z="round(z, 2)", sample_size="n",
+                    period_start=f"date'{period_start}'", period_end=f"date'{day}'", explanation=text.explain_peer(cfg["currency"]),
+                    evidence=evidence)
 
 
 # ------------------------------------------------------------------ change against own history
-def detect_temporal(monthly: dict[str, DataFrame], cfg: dict, day: Column, labels: DataFrame | None = None) -> DataFrame:
+def detect_temporal(monthly: dict[str, DataFrame], cfg: dict, day: date, labels: DataFrame | None = None) -> DataFrame:
     """Mean of an entity's last `recent` recorded months against the `baseline` months before
     them (positions in its own series, gaps are not filled). `labels` (entity_type, entity_id,
-    entity_label) names entities; the id is used where it has none."""
+    label) names entities; the id is used where it has none."""
     w = cfg["windows"]
     recent, base = w["temporal_recent_months"], w["temporal_baseline_months"]
     parts = []
-    for entity in ID:
-        checks = [c for c in cfg["anomaly"]["temporal_checks"] if c["entity"] == entity]
-        if not checks or entity not in monthly:
-            continue
-        items = [F.struct(
-            *[F.lit(v).alias(k) for k, v in {
-                "check_id": c["id"], "metric": c["metric"], "direction": c["direction"],
-                "metric_label": text.METRIC_LABEL.get(c["metric"], c["metric"]),
-                "kind": text.METRIC_KIND.get(c["metric"], "number")}.items()],
-            *[F.lit(float(c[k])).alias(k) for k in ["min_abs_effect", "min_std", "z_threshold"]],
-            F.col(c["metric"]).cast("double").alias("value")) for c in checks]
-        parts.append(_explode(monthly[entity], [F.lit(entity).alias("entity_type"), F.col(ID[entity]).alias("entity_id"),
-                                                F.col("year_month")], items))
-    series = reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull())
+    for entity, df in monthly.items():
+        items = [_struct({"check_id": c["id"], "metric": c["metric"], "direction": c["direction"],
+                          "metric_label": text.METRIC_LABEL.get(c["metric"], c["metric"]),
+                          "kind": text.METRIC_KIND.get(c["metric"], "number"), "min_abs_effect": c["min_abs_effect"],
+                          "min_std": c["min_std"], "z_threshold": c["z_threshold"]}) + f", 'value', double({c['metric']})"
+                 for c in cfg["anomaly"]["temporal_checks"] if c["entity"] == entity]
+        if items:
+            parts.append(_long(df, entity, ["year_month"], items))
     keys = ["check_id", "entity_type", "entity_id"]
     # One row per month and entity, so a window partition is as long as the calendar.
-    ranked = series.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("year_month"))))
-    in_recent = F.col("rn") <= recent
-    in_base = (F.col("rn") > recent) & (F.col("rn") <= recent + base)
+    ranked = (reduce(DataFrame.unionByName, parts).where("value is not null")
+              .selectExpr("*", f"row_number() over (partition by {', '.join(keys)} order by year_month desc) as rn"))
+    before = f"rn > {recent} and rn <= {recent + base}"
     fixed = ["metric", "direction", "metric_label", "kind", "min_abs_effect", "min_std", "z_threshold"]
-    stats = ranked.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.when(in_recent, F.col("value"))).alias("recent"),
-        F.avg(F.when(in_base, F.col("value"))).alias("base_mean"),
-        F.coalesce(F.stddev_samp(F.when(in_base, F.col("value"))), F.lit(0.0)).alias("base_std"),
-        F.count_if(in_base).alias("baseline_months"), *[F.first(c).alias(c) for c in fixed])
-    gap = F.when(F.col("direction") == "high", F.col("recent") - F.col("base_mean")).otherwise(F.col("base_mean") - F.col("recent"))
-    t = F.col("z_threshold")
-    found = (stats.where(F.col("n") >= recent + max(6, base // 2))
-             .withColumn("gap", gap).withColumn("spread", F.greatest("base_std", "min_std"))
-             .withColumn("z", F.col("gap") / (F.col("spread") / F.sqrt(F.lit(float(recent)))))
-             .where((F.col("z") >= t) & (F.col("gap") >= F.col("min_abs_effect")))
-             .withColumn("severity", severity(F.col("z"), t, t * 1.5, t * 2.5)))
+    stats = ranked.groupBy(*keys).agg(*map(F.expr, [
+        "count(1) as n", f"avg(case when rn <= {recent} then value end) as recent",
+        f"avg(case when {before} then value end) as base_mean",
+        f"coalesce(stddev_samp(case when {before} then value end), 0D) as base_std",
+        f"count_if({before}) as baseline_months", *[f"first({c}) as {c}" for c in fixed]]))
+    found = (stats.where(f"n >= {recent + max(6, base // 2)}")
+             .selectExpr("*", "case direction when 'high' then recent - base_mean else base_mean - recent end as gap",
+                         "greatest(base_std, min_std) as spread")
+             .selectExpr("*", f"gap / (spread / sqrt({float(recent)}D)) as z")
+             .where("z >= z_threshold and gap >= min_abs_effect")
+             .selectExpr("*", f"{severity('z', 'z_threshold', '1.5D * z_threshold', '2.5D * z_threshold')} as severity"))
     if labels is not None:
         found = found.join(labels, ["entity_type", "entity_id"], "left")
-    else:
-        found = found.withColumn("entity_label", F.lit(None).cast("string"))
-    found = found.withColumn("entity_label", F.coalesce("entity_label", "entity_id")).withColumn("as_of_date", day)
-    names = {"label": "entity_label", "baseline": "base_mean"}
-    cols = {k: F.col(names.get(k, k)) for k in ["label", "metric_label", "kind", "direction", "recent", "baseline", "spread",
-                                                "gap", "z", "severity", "baseline_months"]}
-    none = F.lit(None)
-    return _conform(found.select(
-        F.concat_ws(":", "check_id", "entity_id").alias("anomaly_id"), "as_of_date", F.lit("TEMPORAL").alias("detection_method"),
-        "check_id", "entity_type", "entity_id", "entity_label", "metric", "direction", F.col("recent").alias("observed_value"),
-        F.col("base_mean").alias("baseline_value"), F.col("spread").alias("baseline_spread"), F.round("z", 2).alias("robust_z"),
-        "severity", F.col("n").alias("sample_size"), none.alias("estimated_exposure"), none.alias("annualised_exposure"),
-        none.alias("leakage_type"), none.alias("period_start"), none.alias("period_end"),
-        text.explain_temporal(cols, recent).alias("explanation"),
-        F.to_json(F.struct(F.lit(recent).alias("recent_months"), "baseline_months", "gap")).alias("evidence")))
+    found = found.selectExpr("*", f"{'coalesce(label, entity_id)' if labels is not None else 'entity_id'} as entity_label")
+    null = dict.fromkeys(["estimated_exposure", "annualised_exposure", "leakage_type", "period_start", "period_end"], "null")
+    return _conform(found, anomaly_id="concat(check_id, ':', entity_id)", as_of_date=f"date'{day}'", detection_method="'TEMPORAL'",
+                    observed_value="recent", baseline_value="base_mean", baseline_spread="spread", robust_z="round(z, 2)", sample_size="n",
+                    explanation=text.explain_temporal(recent),
+                    evidence=f"to_json(struct({recent} as recent_months, baseline_months, gap))", **null)
 
 
 def branch_labels(branch: DataFrame) -> DataFrame:
-    return branch.select(F.lit("branch").alias("entity_type"), F.col("branch_id").alias("entity_id"),
-                         _labelled(branch, "branch").alias("entity_label"))
+    return branch.selectExpr("'branch' as entity_type", "branch_id as entity_id", f"{text.label('branch_id', 'city')} as label")
 
 
-def detect_all(features: dict[str, DataFrame], cfg: dict, period_start: Column, day: Column) -> DataFrame:
+def detect_all(features: dict[str, DataFrame], cfg: dict, period_start: date, day: date) -> DataFrame:
     """Every configured check in one anomaly table. `features` holds the build_features tables."""
-    peers = {"branch": features["branch_base"], "product": features["product_base"], "supplier": features["supplier_base"]}
+    peers = {e: features[f"{e}_base"] for e in ID}
     series = {"branch": features["branch_monthly"], "supplier": features["supplier_monthly"]}
     return detect_peer(peers, cfg, period_start, day).unionByName(
         detect_temporal(series, cfg, day, branch_labels(features["branch_base"])))
@@ -197,6 +159,6 @@ def detect_all(features: dict[str, DataFrame], cfg: dict, period_start: Column,
 
 def anomaly_rollup(anomalies: DataFrame, entity_type: str) -> DataFrame:
     """entity_id, anomaly_count, max_anomaly_severity."""
-    worst = F.max(F.struct(severity_rank(F.col("severity")).alias("r"), F.col("severity").alias("s")))
-    return (anomalies.where(F.col("entity_type") == entity_type).groupBy("entity_id")
-            .agg(F.count(F.lit(1)).alias("anomaly_count"), worst["s"].alias("max_anomaly_severity")))
+    order = f"array_position(array({', '.join(repr(s) for s in SEVERITIES)}), severity)"
+    return (anomalies.where(f"entity_type = '{entity_type}'").groupBy("entity_id")
+            .agg(F.expr("count(1) as anomaly_count"), F.expr(f"max_by(severity, {order}) as max_anomaly_severity")))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,6 +176,10 @@ def event_messages(events: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ staged tables
+FEATURES = ["company_monthly", "branch_monthly", "supplier_monthly", "inventory_movement_monthly", "inventory_branch_category",
+            "branch_base", "product_base", "supplier_base", "inventory_base"]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -197,6 +201,7 @@ class Workspace:
         key = hashlib.md5(data_dir.encode()).hexdigest()[:12]
         self.root = f"{shared_dir(spark)}/marginwatch/{spark.sparkContext.applicationId}/{key}"
         self.staged: dict[str, DataFrame] = {}
+        self.values: dict[str, date] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, data_dir: str) -> "Workspace":
@@ -215,70 +220,83 @@ class Workspace:
             self.staged[name] = self.spark.read.parquet(path)
         return self.staged[name]
 
+    def value(self, name: str, compute: Callable[[], date]) -> date:
+        """One scalar of the data, computed once."""
+        if name not in self.values:
+            self.values[name] = compute()
+        return self.values[name]
+
+    def tables(self, names: list[str], build: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+        if any(n not in self.staged for n in names):
+            built = build()
+            for n in names:
+                self.stage(n, lambda n=n: built[n])
+        return {n: self.staged[n] for n in names}
+
     # -- accepted events, star schema
     def source(self) -> DataFrame:
         return self.stage("source", lambda: source_events(self.table))
 
     def events(self) -> DataFrame:
-        return accepted_events(self.source())
+        return self.stage("events", lambda: accepted_events(self.source()))
 
     def dims(self) -> dict[str, DataFrame]:
-        e = self.events
-        return {n: self.stage(n, lambda n=n: getattr(model, n)(e())) for n in ["dim_date", "dim_supplier", "dim_branch", "dim_product"]}
+        names = ["dim_date", "dim_supplier", "dim_branch", "dim_product"]
+        return self.tables(names, lambda: {n: getattr(model, n)(self.events()) for n in names})
 
     def facts(self) -> dict[str, DataFrame]:
-        product = self.stage("dim_product", lambda: model.dim_product(self.events()))
-        built = model.build_facts(self.events(), product, CFG["returns"]["non_restockable_reasons"])
-        return {n: self.stage(n, lambda df=df: df) for n, df in built.items()}
+        return self.tables(model.FACTS, lambda: model.build_facts(
+            self.events(), self.dims()["dim_product"], CFG["returns"]["non_restockable_reasons"]))
 
     def moves(self) -> DataFrame:
         return features.movements(self.facts())
 
-    def day(self) -> Column:
-        """The as-of date: one row staged, read as a scalar."""
-        f = self.facts()
-        stamp = self.stage("as_of", lambda: self.spark.range(1).select(features.as_of(f).alias("d")))
-        return stamp.select("d").scalar()
+    def day(self) -> date:
+        return self.value("day", lambda: features.as_of(self.facts()))
 
-    def period_start(self) -> Column:
-        return self.features()["branch_base"].agg(F.min("period_start").alias("d")).scalar()
+    def period_start(self) -> date:
+        return self.value("period_start", lambda: self.features()["branch_base"].agg(F.min("period_start")).first()[0])
 
     # -- analytics
     def features(self) -> dict[str, DataFrame]:
-        built = features.build_features(self.facts(), self.dims(), CFG, self.day())
-        return {n: self.stage(n, lambda df=df: df) for n, df in built.items()}
+        return self.tables(FEATURES, lambda: features.build_features(self.facts(), self.dims(), CFG, self.day()))
 
     def peers(self) -> dict[str, DataFrame]:
         f = self.features()
-        return {"branch": f["branch_base"], "product": f["product_base"], "supplier": f["supplier_base"]}
+        return {e: f[f"{e}_base"] for e in detection.ID}
+
+    def series(self) -> dict[str, DataFrame]:
+        f = self.features()
+        return {"branch": f["branch_monthly"], "supplier": f["supplier_monthly"]}
 
     def anomalies(self) -> DataFrame:
         return self.stage("anomalies", lambda: detection.detect_all(self.features(), CFG, self.period_start(), self.day()))
 
     def scorecards(self) -> dict[str, DataFrame]:
-        f, a = self.features(), self.anomalies()
-        return {
-            "branch_scorecard": self.stage("branch_scorecard", lambda: scoring.score_branches(f["branch_base"], a, CFG)),
-            "supplier_scorecard": self.stage("supplier_scorecard", lambda: scoring.score_suppliers(f["supplier_base"], a)),
-            "product_scorecard": self.stage("product_scorecard", lambda: scoring.flag_products(f["product_base"], a, CFG)),
-            "inventory_risk": self.stage("inventory_risk", lambda: scoring.score_inventory(f["inventory_base"], CFG)),
-        }
+        def build() -> dict[str, DataFrame]:
+            f, a = self.features(), self.anomalies()
+            return {"branch_scorecard": scoring.score_branches(f["branch_base"], a, CFG),
+                    "supplier_scorecard": scoring.score_suppliers(f["supplier_base"], a),
+                    "product_scorecard": scoring.flag_products(f["product_base"], a, CFG),
+                    "inventory_risk": scoring.score_inventory(f["inventory_base"], CFG)}
+        return self.tables(["branch_scorecard", "supplier_scorecard", "product_scorecard", "inventory_risk"], build)
 
     def leakage(self) -> DataFrame:
         return self.stage("revenue_leakage", lambda: finance.leakage(
             self.anomalies(), self.scorecards()["product_scorecard"], CFG, self.period_start(), self.day()))
 
-    def kpis(self) -> DataFrame:
+    def build_kpis(self) -> DataFrame:
         f, s = self.features(), self.scorecards()
-        return self.stage("kpi_summary", lambda: finance.kpis(
-            f["company_monthly"], s["branch_scorecard"], s["product_scorecard"], s["supplier_scorecard"], s["inventory_risk"],
-            self.anomalies(), self.leakage(), self.period_start(), self.day()))
+        return finance.kpis(f["company_monthly"], s["branch_scorecard"], s["product_scorecard"], s["supplier_scorecard"],
+                            s["inventory_risk"], self.anomalies(), self.leakage(), self.period_start(), self.day())
+
+    def kpis(self) -> DataFrame:
+        return self.stage("kpi_summary", self.build_kpis)
 
     def published(self) -> dict[str, DataFrame]:
         f = self.features()
-        return {**{n: f[n] for n in ["company_monthly", "branch_monthly", "supplier_monthly", "inventory_movement_monthly",
-                                     "inventory_branch_category"]},
-                **self.scorecards(), "anomalies": self.anomalies(), "revenue_leakage": self.leakage(), "kpi_summary": self.kpis()}
+        return {**{n: f[n] for n in FEATURES if not n.endswith("_base")}, **self.scorecards(), "anomalies": self.anomalies(),
+                "revenue_leakage": self.leakage(), "kpi_summary": self.kpis()}
 
     # -- raw messages and validation
     def messages(self) -> DataFrame:
