@@ -65,10 +65,11 @@ def _facts(facts: dict[str, DataFrame], *cols: Column | str) -> DataFrame:
     return reduce(DataFrame.unionByName, [facts[t].select(*cols) for t in FACTS])
 
 
-def warehouse_gates(raw: DataFrame, account: DataFrame, failures: DataFrame, events: DataFrame, facts: dict[str, DataFrame],
+def warehouse_gates(landing: DataFrame, account: DataFrame, failures: DataFrame, events: DataFrame, facts: dict[str, DataFrame],
                     dims: dict[str, DataFrame]) -> DataFrame:
-    """J1-J11. `account` is the stored one-row accounting of the validation run."""
-    ranges = landing_ranges(raw).agg(F.sum("landed").alias("landed"), F.sum("expected").alias("committed"))
+    """The warehouse gates. `landing` has landed and expected messages per topic partition (see
+    `landing_ranges`), `account` is the stored one-row accounting of the validation run."""
+    ranges = landing.agg(F.sum("landed").alias("landed"), F.sum("expected").alias("committed"))
     rejects = (failures.where("disposition = 'REJECTED'").groupBy("kafka_topic", "kafka_partition", "kafka_offset")
                .agg(F.count(F.lit(1)).alias("c")).agg(F.count(F.lit(1)).alias("n")))
     stored = _facts(facts, F.lit(1).alias("x")).agg(F.count(F.lit(1)).alias("n"))

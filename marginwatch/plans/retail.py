@@ -202,6 +202,7 @@ class Workspace:
         self.root = f"{shared_dir(spark)}/marginwatch/{spark.sparkContext.applicationId}/{key}"
         self.staged: dict[str, DataFrame] = {}
         self.values: dict[str, date] = {}
+        self.paths: dict[str, str] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, data_dir: str) -> "Workspace":
