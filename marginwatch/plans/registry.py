@@ -279,10 +279,9 @@ RULE_ORDER = [*RULE_SQL, "POSSIBLE_DUPLICATE_BUSINESS_KEY", "DUPLICATE_EVENT_ID"
 
 def _flagged(w: Workspace) -> DataFrame:
     """Typed rows with both conflict flags, for the rules that read them."""
-    good = V.parse_events(w.messages()).where("not malformed")
-    share = RULES_CFG["dimension_consistency"]["min_agreement"]
-    rows = V.conflict(_typed(w), V.dominant(good, ["product_id"], ["category", "supplier_id"], share), ["product_id"], ["category", "supplier_id"], "product_conflict")
-    return V.conflict(rows, V.dominant(good, ["branch_id"], ["city"], share), ["branch_id"], ["city"], "branch_conflict")
+    product, branch = V.masters(V.parse_events(w.messages()), RULES_CFG)
+    rows = V.conflict(_typed(w), product, ["product_id"], ["category", "supplier_id"], "product_conflict")
+    return V.conflict(rows, branch, ["branch_id"], ["city"], "branch_conflict")
 
 
 def _rule_query(number: int, code: str) -> None:
@@ -318,7 +317,7 @@ def _(w): return w.first_pass().selectExpr("kafka_offset", "concat_ws(',', trans
 
 
 def _valid(w: Workspace) -> DataFrame:
-    return w.first_pass().where(f"not exists(failures, f -> f.rule_code in ({', '.join(repr(c) for c in V.reject_codes(RULES_CFG))})) and event_id is not null")
+    return V.candidates(w.first_pass(), RULES_CFG)
 
 
 @add("c29_first_valid_copy", "topic:s kafka_offset:i", "SELECT topic, kafka_offset FROM ranked WHERE id_rank > 1")
@@ -330,7 +329,7 @@ def _(w): return V.duplicates(_valid(w)).where("repeat = 'business'")
 
 
 @add("c31_verdict", "topic:s kafka_offset:i is_rejected:b has_warning:b", "SELECT topic, kafka_offset, is_rejected, has_warning FROM judged")
-def _(w): return V.evaluate(V.parse_events(w.messages()), RULES_CFG, NOW, stage=lambda _: w.first_pass())
+def _(w): return V.evaluate(V.parse_events(w.messages()), RULES_CFG, NOW)
 
 
 @add("c32_failure_log", "event_id:s kafka_topic:s kafka_offset:i rule_code:s severity:s disposition:s",
@@ -445,6 +444,15 @@ def _(w):
 def _(w): return w.moves()
 
 
+@add("e02_daily_movements", "branch_id:s product_id:s event_ts:t kind:s events:i quantity:i value:d",
+     "SELECT branch_id, product_id, date_trunc('day', event_ts)::TIMESTAMP AS event_ts, kind, count(*) AS events, sum(quantity) AS quantity, sum(value) AS value FROM movements GROUP BY 1, 2, 3, 4")
+def _(w): return features.daily(w.moves()).withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
+@add("e05_branch_base_from_daily", BRANCH, "branch_base")
+def _(w): return features.branch_base(features.daily(w.moves()), w.dims()["dim_branch"], w.day(), 6)
+
+
 @add("e03_growth_windows", "branch_id:s revenue_recent:d revenue_prior:d growth_rate:d",
      "SELECT branch_id, revenue_recent, revenue_prior, CAST(revenue_recent AS DOUBLE) / nullif(CAST(revenue_prior AS DOUBLE), 0) - 1 AS growth_rate FROM s_branch")
 def _(w): return w.moves().where("kind = 'SALE'").groupBy("branch_id").agg(*map(F.expr, features.growth_windows(w.day(), 6))).selectExpr("*", features.GROWTH)
@@ -1030,11 +1038,7 @@ def _(w):
 def _validated(w: Workspace) -> str:
     if "k2" not in w.staged:
         base = f"{w.root}/k2-{uuid.uuid4().hex}"
-        good = V.parse_events(w.messages()).where("not malformed")
-        share = RULES_CFG["dimension_consistency"]["min_agreement"]
-        masters = (w.stage("product_master", lambda: V.dominant(good, ["product_id"], ["category", "supplier_id"], share)),
-                   w.stage("branch_master", lambda: V.dominant(good, ["branch_id"], ["city"], share)))
-        landing.validate_stream(_stream_of(w), RULES_CFG, NOW, masters, f"{base}/accepted", f"{base}/failures", f"{base}/checkpoint").awaitTermination()
+        landing.validate_stream(_stream_of(w), RULES_CFG, NOW, w.masters(), f"{base}/accepted", f"{base}/failures", f"{base}/checkpoint").awaitTermination()
         w.staged["k2"] = w.spark.read.parquet(f"{base}/accepted").drop("ingest_batch")
         w.staged["k2_failures"] = w.spark.read.parquet(f"{base}/failures")
         w.paths["k2"] = base

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -228,10 +229,11 @@ class Workspace:
         return self.values[name]
 
     def tables(self, names: list[str], build: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+        """Independent tables, written as concurrent jobs so that small ones share the cluster."""
         if any(n not in self.staged for n in names):
             built = build()
-            for n in names:
-                self.stage(n, lambda n=n: built[n])
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                list(pool.map(lambda n: self.stage(n, lambda: built[n]), names))
         return {n: self.staged[n] for n in names}
 
     # -- accepted events, star schema
@@ -303,12 +305,17 @@ class Workspace:
     def messages(self) -> DataFrame:
         return self.stage("messages", lambda: source_messages(self.source()))
 
-    def first_pass(self) -> DataFrame:
-        return self.stage("first_pass", lambda: validation.first_pass(validation.parse_events(self.messages()), RULES_CFG, NOW))
-
     def evaluated(self) -> DataFrame:
         return self.stage("evaluated", lambda: validation.evaluate(
-            validation.parse_events(self.messages()), RULES_CFG, NOW, stage=lambda _: self.first_pass()))
+            validation.parse_events(self.messages()), RULES_CFG, NOW, stage=lambda name, df: self.stage(name, lambda: df)))
+
+    def first_pass(self) -> DataFrame:
+        self.evaluated()
+        return self.staged["first_pass"]
+
+    def masters(self) -> tuple[DataFrame, DataFrame]:
+        self.evaluated()
+        return self.staged["product_master"], self.staged["branch_master"]
 
     def failures(self) -> DataFrame:
         return self.stage("failures", lambda: validation.failure_log(self.evaluated(), RULES_CFG))
