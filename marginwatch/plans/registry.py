@@ -751,16 +751,12 @@ _N = lambda t: f"(SELECT CAST(count(*) AS DOUBLE) FROM {t})"
 _REJECTED = "(SELECT CAST(rejected AS DOUBLE) FROM account)"
 
 
-def _clean_events(w: Workspace) -> DataFrame:
-    return w.stage("clean_events", lambda: V.accepted(w.evaluated()))
-
-
 def _clean_tables(w: Workspace) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Star schema of the accepted messages."""
     names = ["dim_branch", "dim_product"]
-    dims = {n: w.stage(f"clean_{n}", lambda n=n: getattr(model, n)(_clean_events(w))) for n in names}
+    dims = {n: w.stage(f"clean_{n}", lambda n=n: getattr(model, n)(w.clean_events())) for n in names}
     if "clean_fact_sales" not in w.staged:
-        for n, df in model.build_facts(_clean_events(w), dims["dim_product"], CFG["returns"]["non_restockable_reasons"]).items():
+        for n, df in model.build_facts(w.clean_events(), dims["dim_product"], CFG["returns"]["non_restockable_reasons"]).items():
             w.stage(f"clean_{n}", lambda df=df: df)
     return {n: w.staged[f"clean_{n}"] for n in model.FACTS}, dims
 
@@ -782,7 +778,7 @@ def _(w):
     facts, dims = _clean_tables(w)
     # A bulk import: its landing record is the number of messages written per topic partition.
     record = w.messages().groupBy("topic", "kafka_partition").agg(F.expr("count(1) as landed"), F.expr("count(1) as expected"))
-    return gates.warehouse_gates(record, w.account(), w.failures(), _clean_events(w), facts, dims)
+    return gates.warehouse_gates(record, w.account(), w.failures(), w.clean_events(), facts, dims)
 
 
 @add("j12_j15_freshness_gates", "layer:s check_name:s severity:s status:s",

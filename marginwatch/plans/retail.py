@@ -204,6 +204,7 @@ class Workspace:
         self.staged: dict[str, DataFrame] = {}
         self.values: dict[str, date] = {}
         self.paths: dict[str, str] = {}
+        self._evaluated: DataFrame | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, data_dir: str) -> "Workspace":
@@ -306,8 +307,11 @@ class Workspace:
         return self.stage("messages", lambda: source_messages(self.source()))
 
     def evaluated(self) -> DataFrame:
-        return self.stage("evaluated", lambda: validation.evaluate(
-            validation.parse_events(self.messages()), RULES_CFG, NOW, stage=lambda name, df: self.stage(name, lambda: df)))
+        """Not written itself: a join of the staged first pass and the staged repeats."""
+        if self._evaluated is None:
+            self._evaluated = validation.evaluate(validation.parse_events(self.messages()), RULES_CFG, NOW,
+                                                  stage=lambda name, df: self.stage(name, lambda: df))
+        return self._evaluated
 
     def first_pass(self) -> DataFrame:
         self.evaluated()
@@ -317,6 +321,9 @@ class Workspace:
         self.evaluated()
         return self.staged["product_master"], self.staged["branch_master"]
 
+    def clean_events(self) -> DataFrame:
+        return self.stage("clean_events", lambda: validation.accepted(self.evaluated()))
+
     def failures(self) -> DataFrame:
         return self.stage("failures", lambda: validation.failure_log(self.evaluated(), RULES_CFG))
 
