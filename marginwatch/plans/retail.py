@@ -239,7 +239,9 @@ class Workspace:
 
     # -- accepted events, star schema
     def source(self) -> DataFrame:
-        return self.stage("source", lambda: source_events(self.table))
+        """Spread once by the unique event id: the tables come as files of a row group or two, and
+        with broadcast joins everything after them would run that many tasks wide."""
+        return self.stage("source", lambda: source_events(self.table).repartition("event_id"))
 
     def events(self) -> DataFrame:
         return self.stage("events", lambda: accepted_events(self.source()))
