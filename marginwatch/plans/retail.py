@@ -181,13 +181,18 @@ FEATURES = ["company_monthly", "branch_monthly", "supplier_monthly", "inventory_
             "branch_base", "product_base", "supplier_base", "inventory_base"]
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if path:
+        return path
+    app = spark.sparkContext.applicationId
+    if app not in _FALLBACK:
+        _FALLBACK[app] = tempfile.mkdtemp(prefix="spark-")
+    return _FALLBACK[app]
 
 
 class Workspace:

@@ -8,12 +8,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (SparkSession.builder.master("local[4]").appName("tests").config("spark.ui.enabled", "false")
                .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
                .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
