@@ -5,13 +5,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .packing import pack_documents
+from .token_files import token_file_digests
+from .tokens import vocabulary_path
+
+
+def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), all_digests=True)
 
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup}
+def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digests(spark, table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+QUERIES = {"op1_hierarchical_packing": op1_hierarchical_packing, "op7_simple8b_ids": op7_simple8b_ids, "op5_exact_dedup": op5_exact_dedup}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
