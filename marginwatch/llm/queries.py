@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .exact_dedup import exact_dedup
 from .packing import pack_documents
+from .personal_data import digests, find_personal_data
 from .token_files import token_file_digests
 from .tokens import vocabulary_path
 
@@ -14,6 +15,10 @@ def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), all_digests=True)
 
@@ -22,7 +27,7 @@ def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(spark, table(spark, sf_dir, "documents"), vocabulary_path())
 
 
-QUERIES = {"op1_hierarchical_packing": op1_hierarchical_packing, "op7_simple8b_ids": op7_simple8b_ids, "op5_exact_dedup": op5_exact_dedup}
+QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op4_personal_data, op5_exact_dedup, op7_simple8b_ids)}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
