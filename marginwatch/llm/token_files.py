@@ -132,7 +132,8 @@ def _from_files(manifest: DataFrame, folder: str, ddl: str, schema: pa.Schema, m
                     first = start + at + np.cumsum(some) - some
                     yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(make(keys[i:i + 2000], some, first, ids[at:at + int(some.sum())]), schema)], schema=schema)
 
-    return files.repartition("file").mapInArrow(run, ddl)
+    # By number, so that the few small rows are not coalesced into one task: each is a whole file to read.
+    return files.repartition(max(1, manifest.count()), "file").mapInArrow(run, ddl)
 
 
 def token_file_digests(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFrame:
