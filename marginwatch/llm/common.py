@@ -5,6 +5,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The contract's white space, as a regular expression of both Java and DuckDB.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -33,3 +34,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: log2 of the bits that mark_among spends: 2**25 bits are 4 MB to broadcast, however large the input.
+FILTER_BITS = 25
+
+
+def mark_among(rows: DataFrame, keys: DataFrame, columns: list[str], name: str = "among") -> DataFrame:
+    """rows with a boolean: whether these columns' values may be among those of keys. A bitmap of fixed
+    size decides, so that rows are not shuffled; it may say yes wrongly, never no."""
+    slot = F.pmod(F.xxhash64(*columns), F.lit(1 << FILTER_BITS)) + 1
+    bits = keys.select(slot.alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    met = rows.withColumn("_bucket", F.bitmap_bucket_number(slot)).withColumn("_at", F.bitmap_bit_position(slot)).join(F.broadcast(bits), "_bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(_bits, int(_at div 8) + 1, 1)")), 16, 10).cast("int")
+    return met.withColumn(name, F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_bits", "_at")

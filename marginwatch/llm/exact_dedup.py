@@ -10,32 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, staged
+from .common import WHITE, mark_among, staged
 
 #: Characters of the normalised text that the second level looks at.
 PREFIX_CHARS = 64
-#: log2 of the bits that mark surviving ids: 2**25 bits are 4 MB to broadcast, however large the input.
-FILTER_BITS = 25
 
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ")
 
 
-def _slot() -> Column:
-    return F.pmod(F.xxhash64("n_bytes", "prefix_hash"), F.lit(1 << FILTER_BITS)) + 1
-
-
-def _marked(rows: DataFrame, suspects: DataFrame) -> DataFrame:
-    """rows with `suspect`: whether the pair of length and prefix may be in suspects. A bitmap of fixed
-    size decides, so that no text is shuffled. A false positive costs a hash, never a result."""
-    bits = suspects.select(_slot().alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    met = rows.withColumn("bucket", F.bitmap_bucket_number(_slot())).withColumn("at", F.bitmap_bit_position(_slot())).join(F.broadcast(bits), "bucket", "left")
-    byte = F.conv(F.hex(F.expr("substring(bits, int(at div 8) + 1, 1)")), 16, 10).cast("int")
-    return met.withColumn("suspect", F.coalesce(F.getbit(byte, (F.col("at") % 8).cast("int")) == 1, F.lit(False)))
-
-
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS, all_digests: bool = False) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -60,7 +44,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     suspects = staged(prefixes.where("n > 1").join(lengths, "n_bytes", "left_semi").select("n_bytes", "prefix_hash"), "exact-suspects")
 
     # Level 3: the whole content, of survivors only.
-    marked = _marked(keys if all_digests else rows, suspects)
+    marked = mark_among(keys if all_digests else rows, suspects, ["n_bytes", "prefix_hash"], "suspect")
     if not all_digests:
         marked = staged(marked.select("doc_id", "suspect", F.when(F.col("suspect"), digest).alias("text_sha256")), "exact-digests")
     groups = staged(marked.where("suspect").groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1"), "exact-groups")
