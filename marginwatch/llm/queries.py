@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .exact_dedup import exact_dedup
 from .packing import pack_documents
+from .parity_join import jaccard_components
 from .personal_data import digests, find_personal_data
 from .token_files import token_file_digests
 from .tokens import vocabulary_path
@@ -27,7 +28,11 @@ def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(spark, table(spark, sf_dir, "documents"), vocabulary_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op4_personal_data, op5_exact_dedup, op7_simple8b_ids)}
+def op10_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
+
+
+QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op4_personal_data, op5_exact_dedup, op7_simple8b_ids, op10_parity_jaccard_join)}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
