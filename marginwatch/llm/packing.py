@@ -77,14 +77,16 @@ class Packer:
 
     def pack(self, last: bool) -> list[tuple[int, int, list]]:
         """What is ready, as (window length, step group, pieces); at the last call everything."""
+        enough = True
         for window, shorter in zip(self.tiers[::-1], [*self.tiers[-2::-1], 0]):
-            while self.lengths >> (shorter + 1):
+            while enough and self.lengths >> (shorter + 1):
                 pieces = [self._take(self.lengths.bit_length() - 1)]
                 if self._fill(window, pieces):
-                    for p in pieces:  # no window's worth is left: into the next pool
+                    for p in pieces:  # less than a window is left: into the next pool
                         self.put(*p)
-                    break
-                self.waiting[window].append(pieces)
+                    enough = False
+                else:
+                    self.waiting[window].append(pieces)
         if last:
             left, size = sum(length * len(b) for length, b in enumerate(self.bins)), self.top
             while left:

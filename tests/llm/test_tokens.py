@@ -115,3 +115,15 @@ def test_step_groups_are_balanced():
             cost.setdefault(group, []).append(sum(p[2] ** 2 for p in pieces))
     sums = [sum(x) for x in cost.values()]
     assert {len(x) for x in cost.values()} == {16} and max(sums) < 1.05 * min(sums)
+
+
+def test_what_fills_no_window_waits_for_the_next_pool():
+    rng = np.random.default_rng(4)
+    packer, total, held = Packer(), 0, []
+    for doc, length in enumerate(rng.integers(1, 2500, 3000).tolist()):
+        packer.add(doc, length)
+        total += length
+        if rng.random() < 0.3:
+            held += packer.pack(False)
+    held += packer.pack(True)
+    assert sum(w for w, _, _ in held) == total and all(sum(p[2] for p in pieces) == w for w, _, pieces in held)
