@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .line_dedup import line_dedup
 from .packing import pack_documents
 from .parity_join import jaccard_components
 from .personal_data import digests, find_personal_data
@@ -28,11 +29,15 @@ def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(spark, table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op9_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "dropped", "text")
+
+
 def op10_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op4_personal_data, op5_exact_dedup, op7_simple8b_ids, op10_parity_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op4_personal_data, op5_exact_dedup, op7_simple8b_ids, op9_line_edit_join, op10_parity_jaccard_join)}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
