@@ -6,14 +6,12 @@ sketch is cut into parts; if two sets of n and at most n / threshold shingles li
 d(n) shingles, which touch at most d(n) parts. A document therefore hands out the first d(n) + 1 of its
 parts that are not empty as join keys: of the parts up to there, the empty ones and the d(n) touched ones
 cannot be all, so a linked pair shares a key. Parts are very wide and held as the XOR of one random word
-per set bit. A short folded sketch, of as many bits as twice the set, prunes candidates before the sets
-themselves are compared.
-
-Only documents that share a key are candidates, and not all pairs of those are made: first every document
-meets one representative of each of its keys. Its exact similarity to the representative then serves twice:
-components form, and, Jaccard distance being a metric, documents whose distances to a common representative
-differ by more than the threshold's distance can't link. What is left, pairs of one key in different
-components with near distances, is compared one by one, so that components are exact.
+per set bit. A short folded sketch prunes candidates before the sets themselves are compared.
+
+Only documents that share a key are candidates, and not all pairs of those are made. In a few rounds every
+document meets one representative of each of its keys, so that most of a large group becomes one component.
+What is left, documents of one key in different components, meet within a join whose condition is the
+distance of their short sketches; no other pair leaves it, and those are compared exactly.
 """
 from __future__ import annotations
 
@@ -31,8 +29,10 @@ from .components import connected_components
 
 #: Ratio between the largest and the smallest size of a band.
 BAND = 1.6
-#: Bits of the longest folded sketch.
-SKETCH_BITS = 4096
+#: 64-bit words of the folded sketch.
+SKETCH_WORDS = 16
+#: Rounds in which documents meet representatives.
+ROUNDS = 2
 #: Words whose hashes one Python worker keeps.
 CACHE_WORDS = 1_000_000
 
@@ -120,24 +120,15 @@ class Bands:
         return np.concatenate(out).view(np.int64)
 
 
-def folded(h: np.ndarray) -> bytes:
-    """The sketch's bits folded to a power of two of at least twice the set's size, at most SKETCH_BITS."""
-    bits = min(SKETCH_BITS, max(64, 1 << (2 * len(h) - 1).bit_length()))
-    at = (_mix(h, 4) & np.uint64(bits - 1)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
-
-
-def hamming(a: bytes, b: bytes) -> int:
-    """Of two folded sketches, the longer folded further: a lower bound of the sets' symmetric difference."""
-    if len(a) < len(b):
-        a, b = b, a
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0) ^ y).sum())
+def folded(h: np.ndarray) -> np.ndarray:
+    """The sketch folded to SKETCH_WORDS words."""
+    at = (_mix(h, 4) & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)).view(np.int64)
 
 
 def sketch_documents(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Of (doc_id, text): doc_id, n_shingles, two checksums of the set, folded sketch, keys."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("check_a", pa.int64()), ("check_b", pa.int64()), ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("check_a", pa.int64()), ("check_b", pa.int64()), ("sketch", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
 
     def run(batches):
         bands = Bands(num, den)
@@ -148,10 +139,10 @@ def sketch_documents(docs: DataFrame, width: int, num: int, den: int) -> DataFra
                 if len(h):
                     out.append((len(h), int(np.bitwise_xor.reduce(h).view(np.int64)), int(_mix(h, 5).sum(dtype=np.uint64).view(np.int64)), folded(h), bands.keys(h)))
                 else:
-                    out.append((0, 0, 0, b"", []))
+                    out.append((0, 0, 0, [], []))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, f.type) for x, f in zip(zip(*out) if out else [[]] * 5, list(schema)[1:])]], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, check_a long, check_b long, sketch binary, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, check_a long, check_b long, sketch array<long>, keys array<long>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -185,17 +176,15 @@ def _similarity(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, n_common long, n_union long")
 
 
-def _near(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose sizes and folded sketches allow a link."""
-    both = pairs.join(sketches.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x")), "a").join(
-        sketches.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("y")), "b").where(f"n * {den} >= m * {num} and m * {den} >= n * {num}")
+def _close(num: int, den: int) -> str:
+    """SQL: whether sizes n_a, n_b and sketches s_a, s_b allow a link. The distance of folded sketches is at
+    most the symmetric difference of the sets, and that at most (1 - t) / (1 + t) of the sum of their sizes."""
+    distance = " + ".join(f"bit_count(s_a[{k}] ^ s_b[{k}])" for k in range(SKETCH_WORDS))
+    return f"n_a * {den} >= n_b * {num} and n_b * {den} >= n_a * {num} and ({distance}) * {den + num} <= {den - num} * (n_a + n_b)"
 
-    def run(batches):
-        for batch in batches:
-            keep = [hamming(x, y) * (den + num) <= (den - num) * (n + m) for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in "xynm"))]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "x", "y", "n", "m").mapInArrow(run, "a long, b long").distinct()
+def _links(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    return staged(_similarity(staged(pairs, "parity-pairs"), docs, width).where(f"n_common * {den} >= n_union * {num}").select("a", "b").distinct(), "parity-links")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -216,29 +205,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeats = staged(filled.groupBy(same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1").drop("n_rows"), "parity-repeats")
     vertices = filled.join(repeats, same, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     copies = vertices.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    single = staged(vertices.where("doc_id = rep").dropDuplicates(["rep", *same]).select("doc_id", "n_shingles", "sketch", "keys"), "parity-vertices")
+    single = staged(vertices.where("doc_id = rep").select("doc_id", F.col("n_shingles").alias("n"), F.col("sketch").alias("s"), "keys"), "parity-vertices")
+    side = {x: single.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("s").alias(f"s_{x}")) for x in "ab"}
 
-    # Keys that two vertices share, found by counts that combine map-side; other keys go no further.
+    # Keys that two vertices share, found by aggregates that combine map-side; other keys go no further.
     spread = single.select("doc_id", F.explode("keys").alias("key"))
-    shared = staged(spread.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "rep"), "parity-keys")
+    shared = staged(spread.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key"), "parity-keys")
     mates = staged(mark_among(spread, shared, ["key"]).where("among").drop("among").join(shared, "key"), "parity-mates")
 
-    stars = mates.where("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
-    measured = staged(_similarity(stars, rows, width).groupBy("a", "b").agg(F.max_by(F.struct("n_common", "n_union"), F.col("n_common") / F.col("n_union")).alias("s")).select("a", "b", "s.*"), "parity-stars")
-    linked = f"n_common * {den} >= n_union * {num}"
-    links = measured.where(linked).select("a", "b")
-    first = staged(connected_components(links), "parity-first")
-
-    # Pairs that share a key, are in different components, and whose distances to the key's representative allow a link.
-    far = mates.join(measured.select(F.col("a").alias("rep"), F.col("b").alias("doc_id"), (1 - F.col("n_common") / F.col("n_union")).alias("d")), ["rep", "doc_id"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
-    far = far.join(first.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = staged(far.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"), "parity-mixed")
-    far = staged(far.where("rep <> doc_id").join(mixed, "key", "left_semi").select("key", "doc_id", "d", "component"), "parity-far")
-    x, y = (far.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "d", "component")]) for s in "xy")
-    rest = x.join(y, (x.key == y.key) & (F.col("component_x") < F.col("component_y")) & (F.abs(F.col("d_x") - F.col("d_y")) <= 1 - num / den + 1e-9))
-    rest = staged(rest.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct(), "parity-rest")
-    later = staged(_similarity(staged(_near(rest, single, num, den), "parity-near"), rows, width).where(linked).select("a", "b"), "parity-later")
-
-    components = staged(connected_components(links.union(later).union(copies)), "parity-components")
+    links, open_ = copies, mates.withColumn("component", F.col("doc_id"))
+    for k in range(ROUNDS):
+        order = F.col("doc_id") if k == 0 else F.xxhash64("doc_id", F.lit(k))
+        heads = open_.groupBy("key").agg(F.min(F.struct(order.alias("order"), F.col("doc_id").alias("rep"), F.col("component").alias("rep_component"))).alias("h")).select("key", "h.rep", "h.rep_component")
+        stars = open_.join(heads, "key").where("component <> rep_component").select(F.least("rep", "doc_id").alias("a"), F.greatest("rep", "doc_id").alias("b")).distinct()
+        stars = stars.join(side["a"], "a").join(side["b"], "b").where(_close(num, den)).select("a", "b")
+        links = links.union(_links(stars, rows, width, num, den))
+        known = staged(connected_components(links), "parity-known")
+        now = mates.join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        mixed = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+        open_ = staged(now.join(staged(mixed, "parity-mixed"), "key", "left_semi").select("key", "doc_id", "component"), "parity-open")
+    open_ = staged(open_.join(single.select("doc_id", "n", "s"), "doc_id"), "parity-open")
+    x, y = (open_.select(F.col("key").alias(f"key_{z}"), F.col("doc_id").alias(z), F.col("component").alias(f"c_{z}"), F.col("n").alias(f"n_{z}"), F.col("s").alias(f"s_{z}")) for z in "ab")
+    rest = x.join(y, F.expr(f"key_a = key_b and c_a < c_b and {_close(num, den)}")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = links.union(_links(rest, rows, width, num, den))
+
+    components = staged(connected_components(links), "parity-components")
     return sketches.select("doc_id", "n_shingles").join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
