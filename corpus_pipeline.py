@@ -1,12 +1,59 @@
-"""The stages from documents to packed sequences."""
+"""From documents to packed sequences, in five stages.
+
+Each stage reads what the one before it wrote. The first four return the columns of documents.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marginwatch.llm.common import mark_among, staged, table
+from marginwatch.llm.line_dedup import line_dedup
+from marginwatch.llm.mixing import mix
+from marginwatch.llm.packing import pack_documents
+from marginwatch.llm.parity_join import jaccard_components
+from marginwatch.llm.quality import classify, grades_of
+from marginwatch.llm.tokens import vocabulary_path
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are more likely good than not; without labels, all."""
+    return classify(docs, grades_of(table(spark, sf_dir, "labels"))).where("accepted").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat an earlier one; those that lose all of their text go."""
+    left = line_dedup(docs).where("n_dropped = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    return left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near duplicates: five-word shingles, 0.8."""
+    gone = staged(jaccard_components(docs).where("component_id <> doc_id").select("doc_id"), "near-duplicates")
+    marked = mark_among(docs, gone, ["doc_id"])
+    return marked.where("not among").select(*docs.columns).union(marked.where("among").join(gone, "doc_id", "left_anti").select(*docs.columns))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample with flattened shares of source, language and topic."""
+    chosen = mix(docs)
+    gone = staged(chosen.where("not selected").select("row_key").distinct(), "not-mixed")
+    marked = mark_among(docs.withColumn("row_key", F.xxhash64(F.col("doc_id").cast("string"), "text")), gone, ["row_key"])
+    return marked.where("not among").select(*docs.columns).union(marked.where("among").join(gone, "row_key", "left_anti").select(*docs.columns))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 2048 tokens."""
+    return pack_documents(docs, vocabulary_path())
+
 
-STAGES: list = []
+STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("mixing", mixing), ("packing", packing)]
+#: The stages train models and tokenize, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name)
     return docs

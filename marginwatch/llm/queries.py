@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
+from .mixing import mix
 from .packing import pack_documents
 from .parity_join import jaccard_components
 from .personal_data import digests, find_personal_data
+from .quality import classify, grades_of
 from .token_files import token_file_digests
 from .tokens import vocabulary_path
 
@@ -17,6 +19,10 @@ def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents").select("doc_id", "text"), grades_of(table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(find_personal_data(table(spark, sf_dir, "documents")))
 
@@ -29,6 +35,10 @@ def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(spark, table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op8_proportional_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op9_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "dropped", "text")
 
@@ -37,7 +47,7 @@ def op10_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op4_personal_data, op5_exact_dedup, op7_simple8b_ids, op9_line_edit_join, op10_parity_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op2_ordinal_quality, op4_personal_data, op5_exact_dedup, op7_simple8b_ids, op8_proportional_mixing, op9_line_edit_join, op10_parity_jaccard_join)}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
