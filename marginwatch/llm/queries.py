@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .language_model import score_texts
 from .line_dedup import line_dedup
 from .mixing import mix
 from .packing import pack_documents
@@ -23,6 +24,10 @@ def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents").select("doc_id", "text"), grades_of(table(spark, sf_dir, "labels"))).drop("text")
 
 
+def op3_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(find_personal_data(table(spark, sf_dir, "documents")))
 
@@ -47,7 +52,7 @@ def op10_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op2_ordinal_quality, op4_personal_data, op5_exact_dedup, op7_simple8b_ids, op8_proportional_mixing, op9_line_edit_join, op10_parity_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op2_ordinal_quality, op3_recurrent_lm, op4_personal_data, op5_exact_dedup, op7_simple8b_ids, op8_proportional_mixing, op9_line_edit_join, op10_parity_jaccard_join)}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
