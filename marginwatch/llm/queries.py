@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .embedding_graph import near_vectors
 from .exact_dedup import exact_dedup
 from .language_model import score_texts
 from .line_dedup import line_dedup
@@ -36,6 +37,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), all_digests=True)
 
 
+def op6_pruned_graph_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(spark, table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -52,7 +57,7 @@ def op10_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op2_ordinal_quality, op3_recurrent_lm, op4_personal_data, op5_exact_dedup, op7_simple8b_ids, op8_proportional_mixing, op9_line_edit_join, op10_parity_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_hierarchical_packing, op2_ordinal_quality, op3_recurrent_lm, op4_personal_data, op5_exact_dedup, op6_pruned_graph_vectors, op7_simple8b_ids, op8_proportional_mixing, op9_line_edit_join, op10_parity_jaccard_join)}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
