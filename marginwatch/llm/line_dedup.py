@@ -4,7 +4,7 @@ Two lines are near when at most `edits` characters are inserted, deleted or repl
 edits + 1 segments; one of them stands unchanged in any near line of the same or greater length, and not
 further from its place than the edits before and behind it allow. So shorter lines hand out their segments,
 and longer lines probe with the few substrings that can be such a segment, for each length in reach.
-Candidates must also agree in their counts of some classes of characters, within the join itself. What is
+Candidates must also agree in their counts of some characters, within the join itself. What is
 left is verified by a banded bit-parallel automaton: a row of 2 * edits + 1 bits for each number of edits,
 one bit for each diagonal, stepped once a character.
 
@@ -22,8 +22,8 @@ from .components import connected_components
 EDITS = 2
 #: Shorter lines stay wherever they are.
 MIN_CHARS = 20
-#: Classes of characters whose counts candidates must share, but for the edits.
-CLASSES = ("aeiouAEIOU", "nrstNRST", "dhlmDHLM", "bcfgBCFG")
+#: Characters whose counts candidates must share, but for the edits.
+COUNTED = (" ", "e", "n", "t", "r", "a", "o", "s", "i", "h")
 
 
 def _segment(length: str, i: int, edits: int) -> tuple[str, str]:
@@ -72,7 +72,8 @@ def within_edits(a: str, b: str, edits: int) -> str:
     chars = "filter(split({}, ''), _x -> _x <> '')"
     begin = "array(" + ", ".join(map(str, start)) + ")"
     matched = f"struct(_s.r as r, transform(array(_s.i), _i -> {same})[0] as m)"
-    body = f"named_struct('i', _s.i + 1, 'r', transform(array({matched}), _y -> {step})[0])"
+    dead = " and ".join(f"_s.r[{e}] = 0" for e in range(edits, -1, -1))
+    body = f"if({dead}, _s, named_struct('i', _s.i + 1, 'r', transform(array({matched}), _y -> {step})[0]))"
     at_end = f"int(length({b}) - length({a}) + {edits})"
     return (f"abs(length({a}) - length({b})) <= {edits} and exists(transform(array({chars.format(b)}), _cb -> (aggregate({chars.format(a)}, named_struct('i', 0, 'r', {begin}), (_s, _c) -> {body})).r), "
             f"_rows -> exists(_rows, _r -> (shiftright(_r, {at_end}) & 1) = 1))")
@@ -92,12 +93,12 @@ def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     """Of (row_key, doc_id, text): one row (line_key, class_key, n, first) per distinct line that repeats or
     has a near line; first is the first place (doc_id, row_key, pos) of any line of its class."""
     occurrences = _lines(docs, min_chars)
-    counts = [f"length(line) - length(translate(line, '{c}', ''))" for c in CLASSES]
+    counts = [f"octet_length(line) - octet_length(replace(line, '{c}', ''))" for c in COUNTED]
     distinct = occurrences.groupBy(_hash().alias("line_key"), F.xxhash64("line").alias("check")).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row_key", "pos")).alias("first"))
     distinct = staged(distinct.groupBy("line_key").agg(F.sum("n").alias("n"), F.min("first").alias("first")), "lines")
 
-    counted = [f"c{k}" for k in range(len(CLASSES))]
+    counted = [f"c{k}" for k in range(len(COUNTED))]
     # Keys are made at the first place of a line only: equal lines elsewhere add nothing.
     firsts = mark_among(occurrences.withColumn("line_key", _hash()), distinct.select("line_key", "first.doc_id", "first.row_key", "first.pos"), ["line_key", "doc_id", "row_key", "pos"]).where("among")
     shaped = firsts.select("line_key", "line", F.length("line").alias("n_chars"), *[F.expr(c).alias(f"c{k}") for k, c in enumerate(counts)])
@@ -108,7 +109,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     multiple = staged(asked.groupBy("key").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).where("lo < hi").select("key"), "line-multiple")
     given, asked = (mark_among(x, multiple, ["key"]).where("among").drop("among") for x in (given, asked))
     close = " + ".join(f"abs({c}_a - {c}_b)" for c in counted)
-    pairs = given.join(asked, "key").where((F.col("a") != F.col("b")) & (F.col("n_b") >= F.col("n_a")) & (F.col("n_b") <= F.col("n_a") + edits) & F.expr(f"{close} <= {2 * edits}"))
+    pairs = given.join(asked, "key").where((F.col("a") != F.col("b")) & (F.col("n_b") >= F.col("n_a")) & (F.col("n_b") <= F.col("n_a") + edits) & F.expr(f"{close} <= {2 * edits} - (n_b - n_a)"))
     pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
 
     wanted = staged(pairs.select(F.col("a").alias("line_key")).union(pairs.select("b")).distinct(), "line-wanted")
