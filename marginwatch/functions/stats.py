@@ -1,11 +1,10 @@
-"""Exact order statistics at two sizes.
-
-A table that a count shows to be small is ranked with plain windows: one shuffle, no joins.
-Anything larger goes through `order_stats`, the cumulative distribution of a column with one
-row per (group, distinct value). Equal values collapse map-side first, then every group is
-cut at approximate quantiles of all values, so a window task sees about 1/BUCKETS of the
-distinct values however large one group is. The cuts only spread the work: both ways give
-the same exact ranks, medians and percentiles.
+"""Exact order statistics by one distributed way, whatever the size.
+
+`order_stats` is the cumulative distribution of a column with one row per (group, distinct
+value). Equal values collapse map-side first, then every group is cut at approximate quantiles
+of all values into as many pieces as the session shuffles to, so a window task sees about that
+share of the distinct values however large one group is. The cuts only spread the work: ranks,
+medians and percentiles are exact, and interpolate by one formula.
 """
 from __future__ import annotations
 
@@ -14,13 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 32
-SMALL_ROWS = 250_000     # rows one window task may hold
-
 
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    """A count of the input, which callers hand over as a written table."""
-    return df.count() <= (SMALL_ROWS if limit is None else limit)
+def _pieces(df: DataFrame) -> int:
+    """Pieces of a distribution: they follow the parallelism the session is set to."""
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _over(by: Sequence[str], order: str = "") -> str:
@@ -29,24 +25,16 @@ def _over(by: Sequence[str], order: str = "") -> str:
 
 
 # ------------------------------------------------------------------ distributed distribution
-def _locate(lo: int, hi: int, value: str) -> str:
-    """Index of the first cut >= value, by halving: log2(BUCKETS) comparisons a row."""
-    if lo == hi:
-        return str(lo)
-    mid = (lo + hi) // 2
-    return f"case when {value} <= _cuts[{mid}] then {_locate(lo, mid, value)} else {_locate(mid + 1, hi, value)} end"
-
-
-def order_stats(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+def order_stats(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """by..., `value`, ties (rows holding it), less (rows of the group below it), n (rows of
     the group). Null values are left out; `by` columns must not be null."""
-    by = list(by)
+    by, buckets = list(by), buckets or _pieces(df)
     hist = (df.where(f"{value} is not null").selectExpr(*by, f"cast({value} as double) as {value}")
             .groupBy(*by, value).agg(F.expr("count(1) as ties")))
     marks = ", ".join(str(i / buckets) for i in range(1, buckets))
     cuts = hist.agg(F.expr(f"percentile_approx({value}, array({marks}), {100 * buckets})")).scalar()
     placed = (hist.withColumn("_cuts", cuts)
-              .selectExpr(*by, value, "ties", f"coalesce({_locate(0, buckets - 1, value)}, 0) as _b"))
+              .selectExpr(*by, value, "ties", f"coalesce(size(filter(_cuts, c -> c < {value})), 0) as _b"))
     # At most `buckets` rows per group from here on.
     offsets = placed.groupBy(*by, "_b").agg(F.expr("sum(ties) as _t")).selectExpr(
         *by, "_b", f"sum(_t) over {_over(by, '_b')} - _t as _before", f"sum(_t) over {_over(by)} as n")
@@ -76,11 +64,9 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[s
 
 
 # ------------------------------------------------------------------ columns added to rows
-def with_quantiles(df: DataFrame, specs: dict[str, tuple[str, float]], by: Sequence[str] = (), small: bool | None = None) -> DataFrame:
+def with_quantiles(df: DataFrame, specs: dict[str, tuple[str, float]], by: Sequence[str] = ()) -> DataFrame:
     """Add one column per spec (expression, p): the group's interpolated percentile on each row."""
     by = list(by)
-    if is_small(df) if small is None else small:
-        return df.selectExpr("*", *[f"percentile({e}, {float(p)}D) over {_over(by)} as {out}" for out, (e, p) in specs.items()])
     out = df
     for name, (e, p) in specs.items():
         q = quantiles(df.selectExpr(*by, f"{e} as _v"), "_v", {name: p}, by).drop("n")
@@ -88,19 +74,15 @@ def with_quantiles(df: DataFrame, specs: dict[str, tuple[str, float]], by: Seque
     return out
 
 
-def with_baseline(df: DataFrame, value: str, min_scale: str, by: Sequence[str], small: bool | None = None) -> DataFrame:
+def with_baseline(df: DataFrame, value: str, min_scale: str, by: Sequence[str]) -> DataFrame:
     """Add median, scale = max(1.4826 * MAD, min_scale) and peers of the row's group. `by` names
     configured things (checks, components), never data keys, so the medians that are broadcast
     below are one row per configuration entry. Rows must have a value."""
     by = list(by)
-    if is_small(df) if small is None else small:
-        out = df.selectExpr("*", f"percentile({value}, 0.5D) over {_over(by)} as median", f"count(1) over {_over(by)} as peers")
-        out = out.selectExpr("*", f"percentile(abs({value} - median), 0.5D) over {_over(by)} as _mad")
-    else:
-        med = quantiles(df.select(*by, value), value, {"median": 0.5}, by).withColumnRenamed("n", "peers")
-        dev = df.select(*by, value).join(F.broadcast(med), by).selectExpr(*by, f"abs({value} - median) as _dev")
-        mad = quantiles(dev, "_dev", {"_mad": 0.5}, by).drop("n")
-        out = df.join(F.broadcast(med), by).join(F.broadcast(mad), by)
+    med = quantiles(df.select(*by, value), value, {"median": 0.5}, by).withColumnRenamed("n", "peers")
+    dev = df.select(*by, value).join(F.broadcast(med), by).selectExpr(*by, f"abs({value} - median) as _dev")
+    mad = quantiles(dev, "_dev", {"_mad": 0.5}, by).drop("n")
+    out = df.join(F.broadcast(med), by).join(F.broadcast(mad), by)
     return out.selectExpr("*", f"greatest(1.4826D * _mad, {min_scale}) as scale").drop("_mad")
 
 
@@ -110,20 +92,11 @@ def melt(df: DataFrame, ids: Sequence[str], columns: dict[str, str]) -> DataFram
     return df.selectExpr(*ids, f"inline(array({items}))")
 
 
-def with_pct_ranks(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]], by: Sequence[str] = (), small: bool | None = None) -> DataFrame:
+def with_pct_ranks(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]], by: Sequence[str] = ()) -> DataFrame:
     """Add one column per spec (expression, higher_is_better): percentile rank 0..1 with tied
     ranks averaged, over all rows or per `by` group. Null, or a group with at most one value,
     scores 0.5. `key` is the unique key of `df`."""
     by = list(by)
-    if is_small(df) if small is None else small:
-        ranks = []
-        for out, (e, higher) in specs.items():
-            n = f"count({e}) over {_over(by)}"
-            rank = f"rank() over {_over(by, f'{e} nulls last')}"
-            ties = f"count(1) over {_over([*by, e])}"
-            r = f"({rank} + ({ties} - 1) / 2 - 1) / ({n} - 1)"
-            ranks.append(f"case when {e} is null or {n} <= 1 then 0.5D else {r if higher else f'1 - {r}'} end as {out}")
-        return df.selectExpr("*", *ranks)
     long = melt(df, [key, *by], {k: e for k, (e, _) in specs.items()})
     stats = order_stats(long, "value", ["component", *by])
     higher = ", ".join(f"'{k}'" for k, (_, h) in specs.items() if h) or "''"
@@ -134,23 +107,19 @@ def with_pct_ranks(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]],
     return df.join(ranked, key, "left").selectExpr(*df.columns, *[f"coalesce(_r_{k}, 0.5D) as {k}" for k in specs])
 
 
-def with_robust_components(df: DataFrame, key: str, specs: dict[str, dict], z_cap: float = 3.0, small: bool | None = None) -> DataFrame:
+def with_robust_components(df: DataFrame, key: str, specs: dict[str, dict], z_cap: float = 3.0) -> DataFrame:
     """Add spec["out"] for each metric: 0.5 + 0.5*clip(z/z_cap, -1, 1), z against the peers'
     median/MAD, flipped where lower is better; 0.5 for null or fewer than three values."""
-    if is_small(df) if small is None else small:
-        out = df.selectExpr("*", *[f"percentile({m}, 0.5D) over () as _med_{m}" for m in specs], *[f"count({m}) over () as _n_{m}" for m in specs])
-        out = out.selectExpr("*", *[f"percentile(abs({m} - _med_{m}), 0.5D) over () as _mad_{m}" for m in specs])
-    else:
-        long = melt(df, [key], {m: m for m in specs}).where("value is not null")
-        med = quantiles(long, "value", {"median": 0.5}, ["component"])
-        dev = long.join(F.broadcast(med), "component").selectExpr("component", "abs(value - median) as _dev")
-        mad = quantiles(dev, "_dev", {"mad": 0.5}, ["component"]).drop("n")
-        # One row per configured component, folded into a single map.
-        lookup = med.join(F.broadcast(mad), "component").agg(
-            F.expr("map_from_entries(collect_list(struct(component, struct(median, mad, n))))")).scalar()
-        out = df.withColumn("_base", lookup).selectExpr(
-            "*", *[f"_base['{m}'].median as _med_{m}" for m in specs], *[f"_base['{m}'].n as _n_{m}" for m in specs],
-            *[f"_base['{m}'].mad as _mad_{m}" for m in specs])
+    long = melt(df, [key], {m: m for m in specs}).where("value is not null")
+    med = quantiles(long, "value", {"median": 0.5}, ["component"])
+    dev = long.join(F.broadcast(med), "component").selectExpr("component", "abs(value - median) as _dev")
+    mad = quantiles(dev, "_dev", {"mad": 0.5}, ["component"]).drop("n")
+    # One row per configured component, folded into a single map.
+    lookup = med.join(F.broadcast(mad), "component").agg(
+        F.expr("map_from_entries(collect_list(struct(component, struct(median, mad, n))))")).scalar()
+    out = df.withColumn("_base", lookup).selectExpr(
+        "*", *[f"_base['{m}'].median as _med_{m}" for m in specs], *[f"_base['{m}'].n as _n_{m}" for m in specs],
+        *[f"_base['{m}'].mad as _mad_{m}" for m in specs])
     scores = []
     for m, s in specs.items():
         sign = "" if s["higher_is_better"] else "-"

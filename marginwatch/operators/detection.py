@@ -78,16 +78,16 @@ def peer_candidates(features: dict[str, DataFrame], cfg: dict) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).where("value is not null and n >= min_n")
 
 
-def peer_points(features: dict[str, DataFrame], cfg: dict, small: bool | None = None) -> DataFrame:
+def peer_points(features: dict[str, DataFrame], cfg: dict) -> DataFrame:
     """Every eligible peer of every check with the check's median, scale and number of peers."""
-    return with_baseline(peer_candidates(features, cfg), "value", "min_scale", ["check_id"], small)
+    return with_baseline(peer_candidates(features, cfg), "value", "min_scale", ["check_id"])
 
 
-def detect_peer(features: dict[str, DataFrame], cfg: dict, period_start: date, day: date, small: bool | None = None) -> DataFrame:
+def detect_peer(features: dict[str, DataFrame], cfg: dict, period_start: date, day: date) -> DataFrame:
     """Entities whose oriented gap to the peer median is both many robust deviations and large
     enough to matter, with the money at stake. Fewer than five peers give no baseline."""
     span = years(period_start, day)
-    found = (peer_points(features, cfg, small).where(f"peers >= {MIN_PEERS}")
+    found = (peer_points(features, cfg).where(f"peers >= {MIN_PEERS}")
              .selectExpr("*", "case direction when 'high' then value - median else median - value end as gap")
              .selectExpr("*", "gap / scale as z")
              .selectExpr("*", f"{severity('z', 'z_medium', 'z_high', 'z_critical')} as severity")

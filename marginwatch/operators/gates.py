@@ -41,13 +41,27 @@ def enforce(gates: DataFrame) -> None:
 
 
 # ------------------------------------------------------------------ landing
-def landing_ranges(raw: DataFrame) -> DataFrame:
-    """Per topic partition: messages landed, first and last offset, and whether none is missing
-    or repeated between them."""
-    span = F.col("last_offset") - F.col("first_offset") + 1
-    return (raw.groupBy("topic", "kafka_partition").agg(
-        F.count(F.lit(1)).alias("landed"), F.min("kafka_offset").alias("first_offset"), F.max("kafka_offset").alias("last_offset"))
-        .withColumn("expected", span).withColumn("complete", F.col("landed") == F.col("expected")))
+def landing_ranges(raw: DataFrame, planned: DataFrame | None = None) -> DataFrame:
+    """Per topic partition: rows landed, distinct offsets, first and last offset, what was planned,
+    and whether exactly that arrived, each offset once.
+
+    `planned` has topic, kafka_partition, first_offset and last_offset of the range to be read; a
+    partition of it that landed nothing is incomplete. Without it the landed offsets are the range,
+    so that only gaps and repeats inside it show.
+    """
+    keys = ["topic", "kafka_partition"]
+    offsets = raw.groupBy(*keys, "kafka_offset").agg(F.count(F.lit(1)).alias("_n"))
+    seen = offsets.groupBy(*keys).agg(F.sum("_n").alias("landed"), F.count(F.lit(1)).alias("distinct_offsets"),
+                                      F.min("kafka_offset").alias("first_offset"), F.max("kafka_offset").alias("last_offset"))
+    if planned is None:
+        ranged = seen.withColumns({"_from": F.col("first_offset"), "_to": F.col("last_offset")})
+    else:
+        plan = planned.select(*keys, F.col("first_offset").alias("_from"), F.col("last_offset").alias("_to"))
+        ranged = plan.join(seen, keys, "full_outer").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("landed", "distinct_offsets")})
+    expected = F.coalesce(F.col("_to") - F.col("_from") + 1, F.lit(0))
+    whole = (F.col("landed") == expected) & (F.col("distinct_offsets") == expected) & (
+        (expected == 0) | (F.col("first_offset") == F.col("_from")) & (F.col("last_offset") == F.col("_to")))
+    return ranged.withColumn("expected", expected).withColumn("complete", F.coalesce(whole, F.lit(False))).drop("_from", "_to")
 
 
 def ingest_lag(ranges: DataFrame, watermarks: DataFrame) -> DataFrame:

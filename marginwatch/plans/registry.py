@@ -66,7 +66,7 @@ LAKE_EVENTS = ("SELECT 'retail.events' AS topic, event_id % 4 AS kafka_partition
 
 
 def _event_messages(w: Workspace) -> DataFrame:
-    return w.stage("event_messages", lambda: retail.event_messages(w.table("events")).repartition(8, "kafka_partition"))
+    return w.stage("event_messages", lambda: retail.event_messages(w.table("events")))
 
 
 def _land(w: Workspace, out: str, checkpoint: str) -> None:
@@ -523,7 +523,7 @@ def _(w): return detection.peer_points(w.peers(), CFG).groupBy("check_id").agg(*
 
 
 @add("f01_robust_baseline_distributed", "check_id:s median:d scale:d peers:i", "SELECT check_id, min(med) AS median, min(scale) AS scale, min(peers) AS peers FROM points GROUP BY 1")
-def _(w): return detection.peer_points(w.peers(), CFG, small=False).groupBy("check_id").agg(*[F.expr(f"min({c}) as {c}") for c in ["median", "scale", "peers"]])
+def _(w): return detection.peer_points(w.peers(), CFG).groupBy("check_id").agg(*[F.expr(f"min({c}) as {c}") for c in ["median", "scale", "peers"]])
 
 
 @add("f02_severity", "severity:s n:i", "SELECT severity, count(*) AS n FROM (SELECT CASE WHEN z >= 3 THEN 'critical' WHEN z >= 2 THEN 'high' WHEN z >= 1 THEN 'medium' END AS severity "
@@ -609,16 +609,16 @@ SCORE = ("branch_id:s score_gross_margin:d score_discount_rate:d score_return_ra
 PCT_RANK_SQL = "SELECT product_id, margin_percentile AS r FROM product_flags"
 
 
-def _pct_rank(w: Workspace, small: bool | None) -> DataFrame:
-    return with_pct_ranks(w.features()["product_base"], "product_id", {"r": ("gross_margin", True)}, ["category"], small)
+def _pct_rank(w: Workspace) -> DataFrame:
+    return with_pct_ranks(w.features()["product_base"], "product_id", {"r": ("gross_margin", True)}, ["category"])
 
 
 @add("g01_percentile_rank", "product_id:s r:d", PCT_RANK_SQL)
-def _(w): return _pct_rank(w, None)
+def _(w): return _pct_rank(w)
 
 
 @add("g01_percentile_rank_distributed", "product_id:s r:d", PCT_RANK_SQL)
-def _(w): return _pct_rank(w, False)
+def _(w): return _pct_rank(w)
 
 
 COMPONENT_SQL = "SELECT branch_id, score_gross_margin, score_discount_rate, score_return_rate, score_shrink_rate, score_growth_rate FROM branch_scorecard"
@@ -630,7 +630,7 @@ def _(w): return with_robust_components(w.features()["branch_base"], "branch_id"
 
 
 @add("g02_robust_components_distributed", COMPONENTS, COMPONENT_SQL)
-def _(w): return with_robust_components(w.features()["branch_base"], "branch_id", CFG["branch_score"]["components"], small=False)
+def _(w): return with_robust_components(w.features()["branch_base"], "branch_id", CFG["branch_score"]["components"])
 
 
 @add("g03_branch_scores", SCORE, "branch_scorecard")
@@ -651,7 +651,7 @@ def _(w): return scoring.flag_products(w.features()["product_base"], w.anomalies
 
 
 @add("g06_product_flags_distributed", FLAGS, "product_flags")
-def _(w): return scoring.flag_products(w.features()["product_base"], w.anomalies(), CFG, small=False)
+def _(w): return scoring.flag_products(w.features()["product_base"], w.anomalies(), CFG)
 
 
 @add("g07_product_reasons", "product_id:s reasons:i has_text:b",
@@ -667,7 +667,7 @@ def _(w): return scoring.score_inventory(w.features()["inventory_base"], CFG)
 
 
 @add("g08_stockout_scores_distributed", RISK, "inventory_risk")
-def _(w): return scoring.score_inventory(w.features()["inventory_base"], CFG, small=False)
+def _(w): return scoring.score_inventory(w.features()["inventory_base"], CFG)
 
 
 @add("g09_slow_moving", "product_id:s category:s slow_cut:d is_slow_moving:b", "SELECT product_id, category, slow_cut, is_slow_moving FROM inventory_risk")

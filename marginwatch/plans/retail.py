@@ -185,14 +185,15 @@ _FALLBACK: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names. A session with local executors, as in tests, may leave
+    it unset and gets a temporary one; anywhere else that is an error, since executors would write
+    to their own disks."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
-    app = spark.sparkContext.applicationId
-    if app not in _FALLBACK:
-        _FALLBACK[app] = tempfile.mkdtemp(prefix="spark-")
-    return _FALLBACK[app]
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _FALLBACK.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-"))
 
 
 class Workspace:

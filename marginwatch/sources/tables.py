@@ -43,26 +43,41 @@ def project(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]
 
 
 # ------------------------------------------------------------------ merge
-def merge(target: DataFrame, source: DataFrame, mode: str, keys: Sequence[str] = (), now: Column | None = None) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that stand on more than one row, with their count."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def merge(target: DataFrame, source: DataFrame, mode: str, keys: Sequence[str] = (), now: Column | None = None,
+          schema: T.StructType | None = None) -> DataFrame:
     """New version of `target`:
 
     replace - the source rows
     upsert  - source rows by key, target rows without a source row kept
     sync    - upsert without the kept rows, so the target mirrors the source
 
-    Stamp columns the source does not bring are set to `now`.
+    Stamp columns the source does not bring are set to `now`. Other columns it does not bring keep
+    the target's value where the key is known. `schema` says which columns are required; without it
+    the target's own flags count, which a table read from files does not have. A source that repeats
+    a key is refused.
     """
     if mode not in {"replace", "upsert", "sync"}:
         raise ValueError(f"unknown mode {mode}")
     if mode != "replace" and not keys:
         raise ValueError(f"mode={mode} needs keys")
+    keys, schema = list(keys), schema or target.schema
+    rows = conform(source, schema)
+    if keys and (bad := repeated_keys(rows, keys).first()):
+        raise ValueError(f"the source repeats the key {bad.asDict()}")
     now = F.current_timestamp() if now is None else now
-    rows = conform(source, target.schema)
+    lacking = [f for f in schema if f.name not in rows.columns]
+    if mode != "replace" and (kept := [f.name for f in lacking if f.name not in STAMPS]):
+        rows = rows.join(target.select(*keys, *kept), keys, "left")
     new = rows.select(*[F.col(f.name) if f.name in rows.columns else
-                        (now if f.name in STAMPS else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema])
+                        (now if f.name in STAMPS else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
     if mode in {"replace", "sync"}:
         return new
-    return target.join(new.select(*keys), list(keys), "left_anti").unionByName(new)
+    return target.join(new.select(*keys), keys, "left_anti").select(*new.columns).unionByName(new)
 
 
 def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str], mode: str = "sync") -> DataFrame:

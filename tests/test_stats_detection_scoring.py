@@ -24,11 +24,10 @@ def test_distributed_and_plain_ranks_agree_with_pandas(spark, values):
     pdf = df.toPandas().set_index("id")
     expected = pdf.groupby("g")["v"].transform(lambda s: pd.Series(0.5, s.index) if s.notna().sum() <= 1 else ((s.rank() - 1) / (s.notna().sum() - 1)).fillna(0.5))
     q = pdf.groupby("g")["v"].quantile(0.3)
-    for small in (True, False):
-        out = stats.with_pct_ranks(df, "id", {"r": ("v", True)}, ["g"], small)
-        out = stats.with_quantiles(out, {"q": ("v", 0.3)}, ["g"], small).toPandas().set_index("id")
-        assert np.allclose(out["r"].sort_index(), expected.sort_index())
-        assert np.allclose(out["q"].astype(float).sort_index(), out["g"].map(q).astype(float).sort_index(), equal_nan=True)
+    out = stats.with_pct_ranks(df, "id", {"r": ("v", True)}, ["g"])
+    out = stats.with_quantiles(out, {"q": ("v", 0.3)}, ["g"]).toPandas().set_index("id")
+    assert np.allclose(out["r"].sort_index(), expected.sort_index())
+    assert np.allclose(out["q"].astype(float).sort_index(), out["g"].map(q).astype(float).sort_index(), equal_nan=True)
     df.unpersist()
 
 
@@ -57,16 +56,15 @@ def branches(spark, outlier=None, rate=0.22, sales=13000, jitter=0.002):
     return spark.createDataFrame(rows, "branch_id string, city string, discount_rate double, sale_events int, gross_sales double, net_revenue double")
 
 
-def peer(spark, df, check=0, small=None, **changes):
+def peer(spark, df, check=0, **changes):
     c = {**ANALYTICS["anomaly"]["peer_checks"][check], **changes}
     cfg = {**ANALYTICS, "anomaly": {**ANALYTICS["anomaly"], "peer_checks": [c]}}
-    return detection.detect_peer({"branch": df}, cfg, LO, HI, small).collect()
+    return detection.detect_peer({"branch": df}, cfg, LO, HI).collect()
 
 
-@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("where", [6, 2])
-def test_outlier_is_found_where_it_is(spark, where, small):
-    found = peer(spark, branches(spark, where), small=small)
+def test_outlier_is_found_where_it_is(spark, where):
+    found = peer(spark, branches(spark, where))
     assert [f.entity_id for f in found] == [f"BR{where + 1:02d}"]
     f = found[0]
     assert f.severity == "critical" and f.entity_label == f"BR{where + 1:02d} (City{where})" and f.leakage_type == "EXCESS_DISCOUNT"
@@ -111,23 +109,21 @@ def test_temporal_shift(spark):
 
 
 # ------------------------------------------------------------------ scoring
-@pytest.mark.parametrize("small", [True, False])
-def test_branch_scores(spark, small):
+def test_branch_scores(spark):
     rows = [("A", "x", .30, .05, .09, .05, .05), ("B", "x", .24, .06, .10, .06, 0.0), ("C", "x", .24, .07, .10, .06, -.01), ("D", "x", .20, .22, .11, .10, -.10)]
     base = spark.createDataFrame(rows, "branch_id string, city string, " + ", ".join(f"{c} double" for c in BRANCH_COLS))
-    out = {r.branch_id: r for r in scoring.score_branches(base, spark.createDataFrame([], NO_ANOMALIES), ANALYTICS, small).collect()}
+    out = {r.branch_id: r for r in scoring.score_branches(base, spark.createDataFrame([], NO_ANOMALIES), ANALYTICS).collect()}
     assert out["D"].score_discount_rate == 0.0 and (out["A"].performance_rank, out["A"].performance_band) == (1, "strong")
     assert (out["D"].performance_rank, out["D"].performance_band, out["D"].operational_risk) == (4, "weak", "low")
     assert all(0 <= r.performance_score <= 100 for r in out.values())
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_product_flags(spark, small):
+def test_product_flags(spark):
     rows = [(f"P{i:04d}", "G", 200, 0.05 + 0.35 * i / 39, 0.06, 0.30 if i == 0 else 0.02, -0.40 if i == 0 else 0.1, 1000.0) for i in range(40)]
     rows.append(("P9999", "G", 10, 0.01, 0.9, 0.9, -0.9, 10.0))
     base = spark.createDataFrame(rows, "product_id string, category string, sale_events int, gross_margin double, discount_rate double, return_rate_units double, "
                                        "growth_rate double, net_revenue double")
-    out = {r.product_id: r for r in scoring.flag_products(base, spark.createDataFrame([], NO_ANOMALIES), ANALYTICS, small).collect()}
+    out = {r.product_id: r for r in scoring.flag_products(base, spark.createDataFrame([], NO_ANOMALIES), ANALYTICS).collect()}
     p = out["P0000"]
     assert p.is_low_margin and p.is_high_return and p.is_declining and p.is_problematic
     assert p.problem_reasons.startswith("margin 5.0% is in the bottom decile of G; return rate 30.0%") and "revenue fell 40%" in p.problem_reasons
@@ -135,12 +131,11 @@ def test_product_flags(spark, small):
     assert not (q.is_low_margin or q.is_high_return or q.is_high_discount or q.is_declining or q.is_problematic) and q.problem_reasons is None
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_inventory_scores(spark, small):
+def test_inventory_scores(spark):
     rows = [(f"P{i}", "G", 0.1 + 0.1 * i, 0.9 - 0.85 * i / 29, 400 if i == 3 else (None if i == 4 else 1), 5 + int(195 * i / 29)) for i in range(30)]
     base = spark.createDataFrame(rows, "product_id string, category string, velocity_per_day double, replenishment_ratio double, days_since_last_sale int, "
                                        "days_since_last_purchase int")
-    out = {r.product_id: r for r in scoring.score_inventory(base, ANALYTICS, small).collect()}
+    out = {r.product_id: r for r in scoring.score_inventory(base, ANALYTICS).collect()}
     assert (out["P29"].stockout_risk_score, out["P29"].stockout_risk_level, out["P29"].reorder_flag) == (100.0, "high", True)
     assert (out["P0"].stockout_risk_score, out["P0"].stockout_risk_level, out["P0"].is_slow_moving) == (0.0, "normal", True)
     assert out["P3"].is_dead_stock and out["P4"].is_dead_stock and not out["P5"].is_dead_stock

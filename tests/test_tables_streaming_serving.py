@@ -34,6 +34,28 @@ def test_merge_modes(spark, target):
         T.merge(target, source, "upsert")
 
 
+def test_merge_keeps_columns_the_source_lacks_and_refuses_repeated_keys(spark):
+    target = spark.createDataFrame([(1, "a", "keep"), (2, "b", "also")], "id int, v string, note string")
+    source = spark.createDataFrame([(1, "x"), (3, "y")], "id int, v string")
+    got = lambda mode: {tuple(r) for r in T.merge(target, source, mode, ["id"]).collect()}
+    assert got("upsert") == {(1, "x", "keep"), (2, "b", "also"), (3, "y", None)}
+    assert got("sync") == {(1, "x", "keep"), (3, "y", None)}
+    with pytest.raises(ValueError, match="repeats the key"):
+        T.merge(target, source.union(source), "upsert", ["id"])
+    needed = spark.createDataFrame([], "id int not null, v string not null, note string not null").schema
+    with pytest.raises(ValueError, match="missing required column note"):
+        T.merge(target, source, "upsert", ["id"], schema=needed)
+
+
+def test_landing_ranges_see_gaps_repeats_and_missing_ends(spark):
+    rows = [("t", p, o) for p, offsets in enumerate([[0, 1, 1, 3], [0, 1, 2], [5, 6], [0, 1, 1]]) for o in offsets]
+    raw = spark.createDataFrame(rows, "topic string, kafka_partition int, kafka_offset long")
+    assert {r.kafka_partition: r.complete for r in gates.landing_ranges(raw).collect()} == {0: False, 1: True, 2: True, 3: False}
+    planned = spark.createDataFrame([("t", 0, 0, 3), ("t", 1, 0, 2), ("t", 2, 5, 7), ("t", 3, 0, 1), ("t", 4, 0, 0), ("t", 5, 3, 2)], "topic string, kafka_partition int, first_offset long, last_offset long")
+    got = {r.kafka_partition: r.complete for r in gates.landing_ranges(raw, planned).collect()}
+    assert got == {0: False, 1: True, 2: False, 3: False, 4: False, 5: True}
+
+
 def test_schema_drift_stops_a_load(spark):
     target = spark.createDataFrame([("a", 1)], "id string not null, qty int not null").schema
     assert T.schema_drift(spark.createDataFrame([("a", 1, 2)], "id string, qty int, extra int").schema, target) == ["unknown column extra"]
