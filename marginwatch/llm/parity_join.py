@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,12 @@ from .components import connected_components
 
 #: Ratio between the largest and the smallest size of a band.
 BAND = 1.6
-#: 64-bit words of the folded sketch.
-SKETCH_WORDS = 16
-#: Rounds in which documents meet representatives.
-ROUNDS = 2
+#: 64-bit words of the folded sketch, and of the sketch folded further, which candidates are first compared by.
+SKETCH_WORDS, FIRST_WORDS = 16, 4
+#: Rounds in which documents meet representatives, at most; a round that finds no link is the last.
+ROUNDS = 4
 #: Words whose hashes one Python worker keeps.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -176,13 +177,22 @@ def _similarity(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, n_common long, n_union long")
 
 
-def _close(num: int, den: int) -> str:
+def _close(num: int, den: int, words: int) -> str:
     """SQL: whether sizes n_a, n_b and sketches s_a, s_b allow a link. The distance of folded sketches is at
     most the symmetric difference of the sets, and that at most (1 - t) / (1 + t) of the sum of their sizes."""
-    distance = " + ".join(f"bit_count(s_a[{k}] ^ s_b[{k}])" for k in range(SKETCH_WORDS))
+    distance = " + ".join(f"bit_count(s_a[{k}] ^ s_b[{k}])" for k in range(words))
     return f"n_a * {den} >= n_b * {num} and n_b * {den} >= n_a * {num} and ({distance}) * {den + num} <= {den - num} * (n_a + n_b)"
 
 
+def _sides(vertices: DataFrame, sketch: str) -> dict[str, DataFrame]:
+    return {x: vertices.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col(sketch).alias(f"s_{x}")) for x in "ab"}
+
+
+def _near(pairs: DataFrame, vertices: DataFrame, sketch: str, words: int, num: int, den: int) -> DataFrame:
+    side = _sides(vertices, sketch)
+    return pairs.join(side["a"], "a").join(side["b"], "b").where(_close(num, den, words)).select("a", "b")
+
+
 def _links(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return staged(_similarity(staged(pairs, "parity-pairs"), docs, width).where(f"n_common * {den} >= n_union * {num}").select("a", "b").distinct(), "parity-links")
 
@@ -205,8 +215,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeats = staged(filled.groupBy(same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1").drop("n_rows"), "parity-repeats")
     vertices = filled.join(repeats, same, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     copies = vertices.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    single = staged(vertices.where("doc_id = rep").select("doc_id", F.col("n_shingles").alias("n"), F.col("sketch").alias("s"), "keys"), "parity-vertices")
-    side = {x: single.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("s").alias(f"s_{x}")) for x in "ab"}
+    first = [reduce(lambda x, y: x.bitwiseXOR(y), [F.col("sketch")[k] for k in range(w, SKETCH_WORDS, FIRST_WORDS)]) for w in range(FIRST_WORDS)]
+    single = staged(vertices.where("doc_id = rep").select("doc_id", F.col("n_shingles").alias("n"), F.col("sketch").alias("s"), F.array(*first).alias("q"), "keys"), "parity-vertices")
 
     # Keys that two vertices share, found by aggregates that combine map-side; other keys go no further.
     spread = single.select("doc_id", F.explode("keys").alias("key"))
@@ -218,16 +228,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         order = F.col("doc_id") if k == 0 else F.xxhash64("doc_id", F.lit(k))
         heads = open_.groupBy("key").agg(F.min(F.struct(order.alias("order"), F.col("doc_id").alias("rep"), F.col("component").alias("rep_component"))).alias("h")).select("key", "h.rep", "h.rep_component")
         stars = open_.join(heads, "key").where("component <> rep_component").select(F.least("rep", "doc_id").alias("a"), F.greatest("rep", "doc_id").alias("b")).distinct()
-        stars = stars.join(side["a"], "a").join(side["b"], "b").where(_close(num, den)).select("a", "b")
-        links = links.union(_links(stars, rows, width, num, den))
+        found = _links(_near(_near(stars, single, "q", FIRST_WORDS, num, den), single, "s", SKETCH_WORDS, num, den), rows, width, num, den)
+        links = links.union(found)
         known = staged(connected_components(links), "parity-known")
         now = mates.join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         mixed = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
         open_ = staged(now.join(staged(mixed, "parity-mixed"), "key", "left_semi").select("key", "doc_id", "component"), "parity-open")
-    open_ = staged(open_.join(single.select("doc_id", "n", "s"), "doc_id"), "parity-open")
-    x, y = (open_.select(F.col("key").alias(f"key_{z}"), F.col("doc_id").alias(z), F.col("component").alias(f"c_{z}"), F.col("n").alias(f"n_{z}"), F.col("s").alias(f"s_{z}")) for z in "ab")
-    rest = x.join(y, F.expr(f"key_a = key_b and c_a < c_b and {_close(num, den)}")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = links.union(_links(rest, rows, width, num, den))
+        mates = open_.select("key", "doc_id")
+        if found.isEmpty():
+            break
+    open_ = staged(open_.join(single.select("doc_id", "n", "q"), "doc_id"), "parity-open")
+    x, y = (open_.select(F.col("key").alias(f"key_{z}"), F.col("doc_id").alias(z), F.col("component").alias(f"c_{z}"), F.col("n").alias(f"n_{z}"), F.col("q").alias(f"s_{z}")) for z in "ab")
+    rest = x.join(y, F.expr(f"key_a = key_b and c_a < c_b and {_close(num, den, FIRST_WORDS)}")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = links.union(_links(_near(staged(rest, "parity-rest"), single, "s", SKETCH_WORDS, num, den), rows, width, num, den))
 
     components = staged(connected_components(links), "parity-components")
     return sketches.select("doc_id", "n_shingles").join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(

@@ -26,7 +26,7 @@ MAX_LABELLED = 16_000
 BITS = 20
 #: Labelled documents that a feature must appear in.
 LEAST_DOCUMENTS = 5
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 
 _SIGNS = b"!*#$%&|<>{}[]=_~^@/\\+?\"()-"
 _EDGES = b".,;:!?*#$%&|<>{}[]=_~^@/\\+\"'()-"

@@ -12,7 +12,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 END_ID = 1
 #: Words, and units of words, kept in the cache of one Python worker; beyond it the cache starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 #: UTF-8 of the letters from U+00C0 to U+017F, but for the dotted I, whose lower case is two characters.
 _LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf]"
 #: What the tokenizer's own splitting takes as one unit, in words of visible ASCII and these letters.
