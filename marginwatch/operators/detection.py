@@ -67,7 +67,7 @@ def peer_candidates(features: dict[str, DataFrame], cfg: dict) -> DataFrame:
             base = c.get("exposure_base")
             items.append(_struct({
                 "check_id": c["id"], "metric": c["metric"], "direction": c["direction"], "leakage_type": c.get("leakage_type"),
-                "metric_label": text.METRIC_LABEL.get(c["metric"], c["metric"]), "kind": text.METRIC_KIND.get(c["metric"], "number"),
+                "metric_label": text.metric(c["metric"])[0], "kind": text.metric(c["metric"])[1],
                 "n_noun": text.UNIT_NOUN.get(c["n_col"], "events"), "peer_noun": text.PEER_NOUN[entity], "exposure_column": base,
                 "min_scale": c["min_scale"], "min_abs_effect": c["min_abs_effect"], "min_n": c["min_n"],
                 "z_medium": z["medium"], "z_high": z["high"], "z_critical": z["critical"]})
@@ -112,8 +112,8 @@ def detect_temporal(monthly: dict[str, DataFrame], cfg: dict, day: date, labels:
     parts = []
     for entity, df in monthly.items():
         items = [_struct({"check_id": c["id"], "metric": c["metric"], "direction": c["direction"],
-                          "metric_label": text.METRIC_LABEL.get(c["metric"], c["metric"]),
-                          "kind": text.METRIC_KIND.get(c["metric"], "number"), "min_abs_effect": c["min_abs_effect"],
+                          "metric_label": text.metric(c["metric"])[0],
+                          "kind": text.metric(c["metric"])[1], "min_abs_effect": c["min_abs_effect"],
                           "min_std": c["min_std"], "z_threshold": c["z_threshold"]}) + f", 'value', double({c['metric']})"
                  for c in cfg["anomaly"]["temporal_checks"] if c["entity"] == entity]
         if items:
