@@ -109,7 +109,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     multiple = staged(asked.groupBy("key").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).where("lo < hi").select("key"), "line-multiple")
     given, asked = (mark_among(x, multiple, ["key"]).where("among").drop("among") for x in (given, asked))
     close = " + ".join(f"abs({c}_a - {c}_b)" for c in counted)
-    pairs = given.join(asked, "key").where((F.col("a") != F.col("b")) & (F.col("n_b") >= F.col("n_a")) & (F.col("n_b") <= F.col("n_a") + edits) & F.expr(f"{close} <= {2 * edits} - (n_b - n_a)"))
+    pairs = given.join(asked, "key").where(((F.col("n_b") > F.col("n_a")) | (F.col("n_b") == F.col("n_a")) & (F.col("a") < F.col("b"))) & (F.col("n_b") <= F.col("n_a") + edits) & F.expr(f"{close} <= {2 * edits} - (n_b - n_a)"))
     pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
 
     wanted = staged(pairs.select(F.col("a").alias("line_key")).union(pairs.select("b")).distinct(), "line-wanted")
