@@ -2,7 +2,7 @@
 
 Topics come from spherical k-means over hashed words, fitted on a bounded sample and assigned to every
 document where it is read. Tokens are then summed by cell (source, language, topic), and the cells' weights
-are raked: scaled to the target of each marginal in turn until all hold. A document's probability is its
+are raked in one task, which gets one row a cell and not a document: scaled to the target of each marginal in turn until all hold. A document's probability is its
 cell's weight over its cell's tokens, times one factor that makes the expected tokens what is asked for,
 at most 1; a hash of the document decides.
 """
@@ -21,7 +21,9 @@ MAX_FITTED, TOPIC_BINS = 4_000, 4_096
 #: Exponent that flattens a marginal's own shares where no target is given.
 FLATTEN = 0.7
 #: Raking ends when no marginal is off by more than this, relatively, or after so many sweeps.
-TOLERANCE, SWEEPS = 1e-6, 30
+TOLERANCE, SWEEPS = 1e-6, 200
+#: Cells that one task rakes at most (some 200 MB); more are an error, never dropped.
+MAX_CELLS = 1_000_000
 
 
 def _vector(text: bytes) -> np.ndarray:
@@ -74,35 +76,59 @@ def with_topics(docs: DataFrame, id_col: str, text_col: str, n_topics: int) -> D
     return docs.mapInArrow(run, docs.select(*keep).schema.add("n_tokens", "long").add("topic", "integer"))
 
 
-def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame], tolerance: float = TOLERANCE, sweeps: int = SWEEPS) -> DataFrame:
-    """cells (dims ..., tokens) with weight: raked so that the weights of each value of each dim sum to its
-    target (dim, target). The cells stay distributed; the driver sees one number a sweep."""
-    cells = cells.withColumn("weight", F.col("tokens").cast("double"))
+def rake(codes: list[np.ndarray], tokens: np.ndarray, targets: list[np.ndarray], tolerance: float = TOLERANCE, sweeps: int = SWEEPS) -> np.ndarray:
+    """Weights of cells, from their tokens, such that over each dimension the weights of each value sum to
+    its target. codes numbers each cell's value, targets are by number."""
+    weight = tokens.astype(float)
     for _ in range(sweeps):
-        cells = cells.withColumn("off", F.lit(0.0))
-        for dim in dims:
-            sums = cells.groupBy(dim).agg(F.sum("weight").alias("total")).join(targets[dim], dim, "left").select(
-                dim, F.when(F.col("total") > 0, F.coalesce("target", F.lit(0.0)) / F.col("total")).otherwise(F.lit(1.0)).alias("factor"))
-            cells = cells.join(sums, dim).withColumn("weight", F.col("weight") * F.col("factor")).withColumn("off", F.greatest("off", F.abs(F.col("factor") - 1))).drop("factor")
-        cells = staged(cells, "mix-raked")
-        if (cells.where("weight > 0").agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        off = 0.0
+        for code, target in zip(codes, targets):
+            total = np.bincount(code, weight, len(target))
+            factor = np.where(total > 0, target / np.where(total > 0, total, 1), 1.0)
+            weight *= factor[code]
+            alive = (total > 0) & (target > 0)
+            off = max(off, float(np.abs(factor[alive] - 1).max(initial=0)))
+        if off <= tolerance:
             break
-        cells = cells.drop("off")
-    return cells.select(*dims, "tokens", "weight")
+    return weight
 
 
-def probabilities(cells: DataFrame, keep_share: float) -> DataFrame:
-    """cells with probability = min(1, factor * weight / tokens), the factor such that the expected tokens
-    are keep_share of all (or all that have a weight, if those are fewer)."""
-    total, reachable = cells.agg(F.sum("tokens"), F.sum(F.when(F.col("weight") > 0, F.col("tokens")))).first()
-    wanted, factor = min(keep_share * (total or 0), reachable or 0), 0.0
+def probabilities(tokens: np.ndarray, weight: np.ndarray, keep_share: float) -> np.ndarray:
+    """min(1, factor * weight / tokens) of cells, the factor such that the expected tokens are keep_share of
+    all (or all that have a weight, if those are fewer); 1 for a cell without tokens."""
+    wanted, factor = min(keep_share * tokens.sum(), tokens[weight > 0].sum()), 0.0
     while True:
-        full, rest = cells.agg(F.sum(F.when(F.col("weight") * factor >= F.col("tokens"), F.col("tokens"))), F.sum(F.when(F.col("weight") * factor < F.col("tokens"), F.col("weight")))).first()
-        new = (wanted - (full or 0)) / rest if rest else factor
-        if not rest or new <= factor * (1 + 1e-12):
+        full = weight * factor >= tokens
+        rest = weight[~full].sum()
+        new = (wanted - tokens[full].sum()) / rest if rest > 0 else factor
+        if new <= factor * (1 + 1e-12):
             break
         factor = new
-    return cells.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") * factor / F.col("tokens"))).otherwise(F.lit(1.0)))
+    return np.where(tokens > 0, np.minimum(1.0, weight * factor / np.maximum(tokens, 1)), 1.0)
+
+
+def _chances(cells: DataFrame, dims: list[str], targets: dict[str, dict], flatten: float, keep_share: float) -> DataFrame:
+    """cells (dims ..., tokens) with probability. One task rakes the cell table, whose size is checked."""
+    def run(batches):
+        rows = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in [*dims, "tokens"]))]
+        if len(rows) > MAX_CELLS:
+            raise ValueError(f"over {MAX_CELLS} cells of {', '.join(dims)}: mix by columns with fewer values")
+        if not rows:
+            return
+        tokens, codes, aims = np.array([r[-1] for r in rows], float), [], []
+        for k, dim in enumerate(dims):
+            values, code = np.unique([r[k] for r in rows], return_inverse=True)
+            given = targets.get(dim)
+            if given is not None:
+                share = np.array([dict(("-" if v is None else f"={v}", float(w)) for v, w in given.items()).get(v, 0.0) for v in values.tolist()])
+            else:
+                share = (np.bincount(code, tokens, len(values)) / max(tokens.sum(), 1)) ** flatten
+            codes.append(code)
+            aims.append(share / (share.sum() or 1) * tokens.sum())
+        chance = probabilities(tokens, rake(codes, tokens, aims), keep_share)
+        yield pa.RecordBatch.from_pydict({**{d: pa.array([r[k] for r in rows], pa.string()) for k, d in enumerate(dims)}, "probability": pa.array(chance)})
+
+    return staged(cells.coalesce(1).mapInArrow(run, ", ".join(f"{d} string" for d in dims) + ", probability double"), "mix-chances")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", n_topics: int = 8,
@@ -113,24 +139,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     gets none, and its documents go. A marginal without targets aims at its own token shares to the power
     `flatten`. A null source or language is a value of its own. A text without words, or null, has no tokens,
     weighs nothing and is selected where its cell has no tokens at all, else by its cell's probability. Rows
-    that repeat id and text share the decision. An empty table gives no row; other columns are ignored.
+    that repeat id and text share the decision. Targets that no weights can meet together end with the last
+    dimension met, after SWEEPS. An empty table gives no row; other columns are ignored.
     """
     dims = ["source", "lang", "topic"]
     value = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col).cast("string"), text_col).alias("row_key"), value(source_col).alias("source"), value(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = staged(with_topics(rows, "doc_id", "text", n_topics).withColumn("topic", value("topic")), "mix-rows")
     cells = staged(rows.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    aims = {}
-    for dim in dims:
-        given = (targets or {}).get(dim)
-        if given is not None:
-            weights = [("-" if k is None else f"={k}", float(v)) for k, v in given.items()]
-            shares = docs.sparkSession.createDataFrame(weights, f"{dim} string, w double")
-        else:
-            shares = cells.groupBy(dim).agg(F.pow(F.sum("tokens") / max(total, 1), F.lit(flatten)).alias("w"))
-        all_w = shares.agg(F.sum("w")).first()[0] or 1.0
-        aims[dim] = staged(shares.select(dim, (F.col("w") / all_w * total).alias("target")), "mix-targets")
-    chances = staged(probabilities(rake(cells, dims, aims), keep_share).select(*dims, "probability"), "mix-chances")
+    chances = _chances(cells, dims, targets or {}, flatten, keep_share)
     draw = F.pmod(F.xxhash64("row_key", F.lit("mix")), F.lit(1 << 53)) / F.lit(float(1 << 53))
     return rows.join(chances, dims).select("doc_id", "row_key", F.regexp_replace("topic", "^=", "").cast("int").alias("topic"), "n_tokens", "probability", (draw < F.col("probability")).alias("selected"))
