@@ -86,6 +86,14 @@ def build_graph(x: np.ndarray, edges: int = EDGES, candidates: int = CANDIDATES,
     return out
 
 
+def both_ways(graph: np.ndarray) -> list[np.ndarray]:
+    """Adjacency lists with each edge in both directions, so that every vector is reached from what it reaches."""
+    at, k = np.nonzero(graph >= 0)
+    pairs = np.stack([np.concatenate([at, graph[at, k]]), np.concatenate([graph[at, k], at])])
+    pairs = np.unique(pairs, axis=1)
+    return np.split(pairs[1], np.searchsorted(pairs[0], np.arange(1, len(graph))))
+
+
 def search(x: np.ndarray, graph: list[np.ndarray], medoid: int, q: int, least: float, beam: int) -> np.ndarray:
     """The rows of x within the threshold of row q, itself left out: a greedy walk with a beam from the medoid,
     and from q's own edges, then expansion of all that is in range."""
@@ -157,8 +165,8 @@ def _find(points: DataFrame, copies: DataFrame, dim: int, least: float, overlap:
 
     def build(key, table):
         ids = np.array(table.column("vertex").to_pylist())
-        graph = build_graph(_rows(table.column("v").to_pylist(), dim))
-        return pa.table({"vertex": pa.array(ids), "edges": pa.array([ids[g[g >= 0]].tolist() for g in graph], pa.list_(pa.int64()))})
+        graph = both_ways(build_graph(_rows(table.column("v").to_pylist(), dim)))
+        return pa.table({"vertex": pa.array(ids), "edges": pa.array([ids[g].tolist() for g in graph], pa.list_(pa.int64()))})
 
     lists = points.groupBy("shard").applyInArrow(build, "vertex long, edges array<long>")
     united = staged(lists.groupBy("vertex").agg(F.array_distinct(F.flatten(F.collect_list("edges"))).alias("edges")), "graph-edges")
