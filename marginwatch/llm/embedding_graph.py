@@ -1,41 +1,44 @@
 """Near-duplicate vectors by a robust-pruned flat graph, built on overlapping cluster shards.
 
-Only vectors of one label meet. Each label's vectors are dealt to shards: centres from a bounded sample,
-every vector to its nearest centre (its home) and to further ones nearly as near (copies), so that shards
-overlap where vectors lie between centres. A shard's task builds a graph: each vector's candidates are
-pruned so that a neighbour is kept only if no kept one is nearer to it (scaled by ALPHA), which leaves a
-few edges in every direction. The adjacency lists of a vector from all its shards are united. Searches
-start at the shard's medoid and walk greedily with a beam; once a vector within the threshold is met, all
-its neighbours are expanded while they stay within range. Each vector searches in its home shard over the
-united lists; found pairs are verified in double precision.
+Only vectors of one label meet. Each vector is dealt to the shard of its nearest centre (its home), and is
+sent as a visitor to every shard whose members can be near it: if y is nearer to centre c' than to c and
+|x - y| <= r, then x.c - x.c' <= r |c - c'|. r that belongs to the threshold makes this exact; REACH of it
+is tried first. However many shards a tight group is cut into, its vectors visit all of them.
+
+In its home shard a vector is searched in a graph: each vector's candidates are pruned so that a neighbour is
+kept only if no kept one is nearer to it (scaled by ALPHA), edges go both ways, and a beam walks from the
+shard's medoid; once a vector within the threshold is met, all its neighbours are expanded while they stay
+within range. Visitors are compared with the members of a shard in blocks, in double precision.
 
 Dealing has two levels, so that the centres stay few: at most FANOUT for a label, and again for each shard
 that is still large. Exact copies are one vertex with a count. A shard's links leave it as a count for each
-vector and a spanning forest, never as all pairs. Recall is measured in every run against brute force on
-ids divisible by AUDIT (at most MAX_AUDIT of them, each against all vectors); below LEAST_RECALL the run is
-repeated with twice the overlap and the beam.
+vector and a spanning forest, never as all pairs. Recall is measured in every run: ids divisible by AUDIT,
+all of them, visit by the exact reach and are compared in blocks at home too. If the graph and the narrow
+reach give less than LEAST_RECALL of their links, counted with or without copies, the run is repeated with
+the exact reach and blocks for all, which misses nothing.
 """
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
 from .components import connected_components
 
-#: Rows of a shard that dealing aims at, vectors that its centres are fitted on (in expectation), centres, shards of a vector at a level.
-SHARD_ROWS, MAX_FITTED, FANOUT, HOMES = 1_500, 4_096, 256, 3
-#: A vector also joins centres whose similarity is within this of its best.
-OVERLAP = 0.08
+#: Members of a shard that dealing aims at, vectors that its centres are fitted on (in expectation), centres, rows that one task compares.
+SHARD_ROWS, MAX_FITTED, FANOUT, PART_ROWS = 1_500, 4_096, 256, 12_000
+#: Share of the exact reach that is tried first: in 64 dimensions over three deviations of a link's part along one direction.
+REACH = 0.4
 #: Edges of a vector, candidates that are pruned to them, pruning factor, beam of the search.
 EDGES, CANDIDATES, ALPHA, BEAM = 24, 64, 1.2, 24
-AUDIT, MAX_AUDIT, LEAST_RECALL, ATTEMPTS = 100, 2_000, 0.95, 3
+AUDIT, LEAST_RECALL = 100, 0.95
 
 
-def _rows(column: list, dim: int) -> np.ndarray:
-    a = np.array(column, float).reshape(len(column), dim)
+def _rows(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    a = pc.list_flatten(column).to_numpy().astype(float).reshape(len(column), dim)
     a /= np.abs(a).max(axis=1, keepdims=True)
     return a / np.linalg.norm(a, axis=1, keepdims=True)
 
@@ -126,137 +129,146 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
 
 
-def _deal(points: DataFrame, dim: int, overlap: float) -> DataFrame:
-    """points (vertex, shard, home, v) with shards that hold over SHARD_ROWS rows dealt out to smaller ones."""
+def _deal(points: DataFrame, dim: int, narrow: float, exact: float) -> DataFrame:
+    """points (vertex, shard, home, near, v) with shards of over SHARD_ROWS members dealt out to smaller ones.
+    A vertex is a member where home is true; near says that the narrow reach leads it there."""
     spark = points.sparkSession
-    sizes = points.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(f"n > {SHARD_ROWS}")
+    sizes = points.where("home").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(f"n > {SHARD_ROWS}")
     draw = F.pmod(F.xxhash64("vertex", "shard"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = points.join(sizes, "shard").where(draw * F.col("n") < MAX_FITTED).select("shard", "n", "vertex", "v")
+    sample = points.where("home").join(sizes, "shard").where(draw * F.col("n") < MAX_FITTED).select("shard", "n", "vertex", "v")
 
     def fit(key, table):
-        x = _rows(table.sort_by("vertex").column("v").to_pylist(), dim)
+        x = _rows(table.sort_by("vertex").column("v"), dim)
         c = centres_of(x, min(FANOUT, -(-table.column("n")[0].as_py() // SHARD_ROWS)))
         return pa.table({"shard": pa.array([key[0].as_py()], pa.string()), "centres": pa.array([c.astype("<f8").tobytes()], pa.binary())})
 
     fitted = sample.groupBy("shard").applyInArrow(fit, "shard string, centres binary").collect()
-    centres = spark.sparkContext.broadcast({r.shard: np.frombuffer(r.centres, "<f8").reshape(-1, dim) for r in fitted})
-    schema = pa.schema([("vertex", pa.int64()), ("shard", pa.string()), ("home", pa.bool_()), ("v", pa.list_(pa.float32()))])
+    centres = {r.shard: np.frombuffer(r.centres, "<f8").reshape(-1, dim) for r in fitted}
+    sent = spark.sparkContext.broadcast({k: (c, np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))) for k, c in centres.items()})
 
     def assign(batches):
         for batch in batches:
-            out = []
-            for i, shard, home, v in zip(*(batch.column(c).to_pylist() for c in ("vertex", "shard", "home", "v"))):
-                c = centres.value.get(shard)
-                if c is None:
-                    out.append((i, shard, home, v))
+            if not len(batch):
+                continue
+            shards, vertex, home, near = (np.array(batch.column(c).to_pylist()) for c in ("shard", "vertex", "home", "near"))
+            x, take, names, homes, nears = _rows(batch.column("v"), dim), [], [], [], []
+            for shard in np.unique(shards).tolist():
+                mine = np.flatnonzero(shards == shard)
+                if shard not in sent.value:
+                    take.append(mine), names.extend([shard] * len(mine)), homes.append(home[mine]), nears.append(near[mine])
                     continue
-                s = c @ _rows([v], dim)[0]
-                order = np.argsort(-s)[:HOMES]
-                out += [(i, f"{shard}/{k}", home and j == 0, v) for j, k in enumerate(order.tolist()) if s[order[0]] - s[k] <= overlap]
-            yield from _table(out, schema).to_batches()
-
-    return staged(points.select("vertex", "shard", "home", "v").mapInArrow(assign, "vertex long, shard string, home boolean, v array<float>"), "graph-shards")
-
-
-def _find(points: DataFrame, copies: DataFrame, dim: int, least: float, overlap: float, beam: int) -> DataFrame:
-    """(vertex, n, root): of each vertex, copies of vertices found within the threshold, and its root in its shard's forest."""
+                c, apart = sent.value[shard]
+                s = x[mine] @ c.T
+                best = s.argmax(axis=1)
+                behind = s[np.arange(len(mine)), best][:, None] - s
+                within = behind <= narrow * apart[best] + 1e-9
+                at, k = np.nonzero((vertex[mine] % AUDIT == 0)[:, None] & (behind <= exact * apart[best] + 1e-9) | within)
+                take.append(mine[at]), names.extend(f"{shard}/{j}" for j in k.tolist())
+                homes.append(home[mine[at]] & (k == best[at])), nears.append(near[mine[at]] & within[at, k])
+            take = np.concatenate(take)
+            yield pa.RecordBatch.from_arrays([pa.array(vertex[take]), pa.array(names, pa.string()), pa.array(np.concatenate(homes)), pa.array(np.concatenate(nears)), batch.column("v").take(pa.array(take))], ["vertex", "shard", "home", "near", "v"])
+
+    return staged(points.select("vertex", "shard", "home", "near", "v").mapInArrow(assign, "vertex long, shard string, home boolean, near boolean, v array<float>"), "graph-shards")
+
+
+def _find(points: DataFrame, copies: DataFrame, dim: int, least: float, reach: float, beam: int) -> DataFrame:
+    """(vertex, other, n, pairs, near): for a vertex in a shard, copies and vertices found within the threshold,
+    near if graph and narrow reach find them; and, with other, the edges of the shard's forest. A reach of 1
+    is exact and does without the graph."""
+    exact = float(np.sqrt(2 - 2 * least))
     for _ in range(2):
-        points = _deal(points, dim, overlap)
-
-    def build(key, table):
-        ids = np.array(table.column("vertex").to_pylist())
-        graph = both_ways(build_graph(_rows(table.column("v").to_pylist(), dim)))
-        return pa.table({"vertex": pa.array(ids), "edges": pa.array([ids[g].tolist() for g in graph], pa.list_(pa.int64()))})
-
-    lists = points.groupBy("shard").applyInArrow(build, "vertex long, edges array<long>")
-    united = staged(lists.groupBy("vertex").agg(F.array_distinct(F.flatten(F.collect_list("edges"))).alias("edges")), "graph-edges")
-    schema = pa.schema([("vertex", pa.int64()), ("other", pa.int64()), ("n", pa.int64())])
+        points = _deal(points, dim, reach * exact, exact)
+    # A shard with many visitors is compared in parts, each with all members.
+    parts = points.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
+    mine = F.pmod(F.xxhash64("vertex"), "parts").cast("int")
+    rows = points.join(F.broadcast(parts), "shard").withColumn("part", F.explode(F.when(F.col("home"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(mine))))
+    rows = rows.withColumn("asks", F.col("part") == mine).drop("parts").join(copies, "vertex")
+    schema = pa.schema([("vertex", pa.int64()), ("other", pa.int64()), ("n", pa.int64()), ("pairs", pa.int64()), ("near", pa.bool_())])
 
     def walk(key, table):
-        table = table.sort_by("vertex")
-        ids, copies, home = (np.array(table.column(c).to_pylist()) for c in ("vertex", "copies", "home"))
-        x = _rows(table.column("v").to_pylist(), dim)
-        place = {i: k for k, i in enumerate(ids.tolist())}
-        graph = [np.array([place[j] for j in e if j in place], np.int64) for e in table.column("edges").to_pylist()]
+        table = table.sort_by([("home", "descending"), ("vertex", "ascending")])
+        ids, weights, home, near, asks = (np.array(table.column(c).to_pylist()) for c in ("vertex", "copies", "home", "near", "asks"))
+        m = int(home.sum())  # members come first
+        if not m:
+            return _table([], schema)
+        v = _rows(table.column("v"), dim)
+        x, weights = v[:m], weights[:m]
+        graph = both_ways(build_graph(x)) if reach < 1 and asks[:m].any() else None
         medoid = int((x @ x.mean(axis=0)).argmax())
-        root = np.arange(len(ids))
-
-        def top(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        out = []
-        for q in np.flatnonzero(home).tolist():
-            hits = search(x, graph, medoid, q, least - 1e-9, beam)
-            hits = hits[x[hits] @ x[q] >= least] if len(hits) else hits  # rows are unit vectors in double precision
-            out.append((int(ids[q]), None, int(copies[hits].sum())))
-            for h in hits.tolist():
-                a, b = top(q), top(h)
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-                    out.append((int(ids[q]), int(ids[h]), 0))
+        root, out = np.arange(m), []
+        asking = np.flatnonzero(asks)
+        for a in range(0, len(asking), 512):
+            block = asking[a:a + 512]
+            hit = v[block] @ x.T >= least
+            inside = np.flatnonzero(block < m)
+            hit[inside, block[inside]] = False
+            for q, found in zip(block.tolist(), hit):
+                walked = q < m and graph is not None
+                if walked:
+                    hits = search(x, graph, medoid, q, least - 1e-9, beam)
+                    hits = hits[x[hits] @ x[q] >= least]
+                    out.append((int(ids[q]), None, int(weights[hits].sum()), len(hits), True))
+                if not walked or ids[q] % AUDIT == 0:
+                    full = np.flatnonzero(found)
+                    less = hits if walked else full[:0]
+                    if len(full) > len(less):
+                        out.append((int(ids[q]), None, int(weights[full].sum() - weights[less].sum()), len(full) - len(less), bool(near[q]) and not walked))
+                    hits = full
+                roots = np.unique(root[np.append(hits, q)] if q < m else root[hits])
+                first = int(ids[roots[0]] if q < m else ids[q]) if len(roots) else None
+                out += [(first, int(ids[r]), 0, 0, True) for r in roots[q < m:].tolist()]
+                if len(roots) > 1:
+                    root[np.isin(root, roots)] = roots[0]
         return _table(out, schema)
 
-    return staged(points.join(united, "vertex").join(copies, "vertex").groupBy("shard").applyInArrow(walk, "vertex long, other long, n long"), "graph-found")
+    return staged(rows.groupBy("shard", "part").applyInArrow(walk, "vertex long, other long, n long, pairs long, near boolean"), "graph-found")
 
 
-def _recall(vertices: DataFrame, found: DataFrame, dim: int, least: float) -> float:
-    """Found over true links of the audited ids, all vectors read in blocks against them."""
-    audited = vertices.where(F.col("vertex") % AUDIT == 0).orderBy(F.xxhash64("vertex"), "vertex").limit(MAX_AUDIT).select("vertex", "label", "v").collect()
-    if not audited:
-        return 1.0
-    by_label: dict = {}
-    for r in audited:
-        by_label.setdefault(r.label, []).append((r.vertex, r.v))
-    sent = vertices.sparkSession.sparkContext.broadcast({k: (np.array([i for i, _ in rows]), _rows([v for _, v in rows], dim)) for k, rows in by_label.items()})
+def _recall(found: DataFrame) -> dict:
+    """Of the audited ids: links, and the share of them that graph and narrow reach find, with copies and by pairs of vertices."""
+    near = lambda c: F.coalesce(F.sum(F.when(F.col("near"), F.col(c))), F.lit(0))
+    r = found.where((F.col("vertex") % AUDIT == 0) & F.col("other").isNull()).agg(F.sum("n").alias("n"), F.sum("pairs").alias("pairs"), near("n").alias("got"), near("pairs").alias("got_pairs")).first()
+    return {"links": r.n or 0, "recall": r.got / r.n if r.n else 1.0, "pair_recall": r.got_pairs / r.pairs if r.pairs else 1.0}
 
-    def count(batches):
-        for batch in batches:
-            labels, ids, copies = (np.array(batch.column(c).to_pylist()) for c in ("label", "vertex", "copies"))
-            out = []
-            for label, (queries, q) in sent.value.items():
-                mine = np.flatnonzero(labels == label)
-                if len(mine):
-                    hit = (_rows([batch.column("v")[int(k)].as_py() for k in mine], dim) @ q.T >= least) & (ids[mine][:, None] != queries[None, :])
-                    out += list(zip(queries.tolist(), (hit * copies[mine][:, None]).sum(axis=0).tolist()))
-            yield from _table(out, pa.schema([("vertex", pa.int64()), ("n_true", pa.int64())])).to_batches()
 
-    true = vertices.select("label", "vertex", "copies", "v").mapInArrow(count, "vertex long, n_true long").groupBy("vertex").agg(F.sum("n_true").alias("n_true"))
-    total, got = true.join(found.groupBy("vertex").agg(F.sum("n").alias("n")), "vertex", "left").agg(F.sum("n_true"), F.sum(F.least("n_true", F.coalesce("n", F.lit(0))))).first()
-    return (got or 0) / total if total else 1.0
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.98) -> DataFrame:
+    """The rows of near_vectors_audited, whose recall is assured."""
+    return near_vectors_audited(vectors, id_col, vector_col, label_col, least)[0]
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.98) -> DataFrame:
+def near_vectors_audited(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.98) -> tuple[DataFrame, dict]:
     """One row per input row: vec_id, n_links, component_id, kept.
 
     Vectors link when their labels are equal and not null and their cosine is at least `least`. A vector that
     is null, empty or zero, or holds a null or a number that is not finite, links with nothing, nor does one
     of another dimension than the most common. Rows that repeat an id are one vector with the links of all
     of them; a null id links with nothing, its component is null and it is kept. An empty table gives no row.
+
+    The second value has the audited links and the recall, weighted by copies and by pairs, of the attempt
+    whose rows these are; attempts is 2 if the first fell short.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<float>").alias("v"))
     sane = "size(v) > 0 and forall(v, x -> coalesce(abs(x) < float('inf'), false) and not isnan(x)) and exists(v, x -> x <> 0)"
     usable = rows.where("vec_id is not null and label is not null").where(f"coalesce({sane}, false)")
     common = usable.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     if common is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")), {"links": 0, "recall": 1.0, "pair_recall": 1.0, "attempts": 0}
     dim = common.dim
     usable = usable.where(F.size("v") == dim)
     vertices = staged(usable.groupBy("label", "v").agg(F.min("vec_id").alias("vertex"), F.count(F.lit(1)).alias("copies")), "graph-vertices")
-    points = vertices.select("vertex", F.col("label").alias("shard"), F.lit(True).alias("home"), "v")
-    overlap, beam = OVERLAP, BEAM
-    for _ in range(ATTEMPTS):
-        found = _find(points, vertices.select("vertex", "copies"), dim, least, overlap, beam)
-        if _recall(vertices, found, dim, least) >= LEAST_RECALL:
+    points = vertices.select("vertex", F.col("label").alias("shard"), F.lit(True).alias("home"), F.lit(True).alias("near"), "v")
+    for attempt, reach in enumerate((REACH, 1.0), 1):
+        found = _find(points, vertices.select("vertex", "copies"), dim, least, reach, BEAM)
+        audit = _recall(found) | {"attempts": attempt}
+        if min(audit["recall"], audit["pair_recall"]) >= LEAST_RECALL:
             break
-        overlap, beam = 2 * overlap, 2 * beam
+    else:
+        raise RuntimeError(f"exact comparison missed audited links: {audit}")
     members = usable.join(vertices.select("label", "v", "vertex", "copies"), ["label", "v"]).select("vec_id", "vertex", "copies")
     links = found.where("other is not null").select(F.col("vertex").alias("a"), F.col("other").alias("b")).union(members.where("vec_id <> vertex").select("vec_id", "vertex"))
     components = staged(connected_components(links), "graph-components")
     counts = members.join(found.groupBy("vertex").agg(F.sum("n").alias("n")), "vertex", "left").groupBy("vec_id").agg(F.sum(F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = rows.select("vec_id").join(staged(counts, "graph-counts"), "vec_id", "left").join(components.withColumnRenamed("id", "vec_id"), "vec_id", "left")
     component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept")), audit
 

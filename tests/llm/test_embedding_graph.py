@@ -77,3 +77,28 @@ def test_graph_search_finds_what_is_near():
     medoid = int((x @ x.mean(axis=0)).argmax())
     found = sum(q + 400 in G.search(x, graph, medoid, q, 0.9, 24).tolist() for q in range(400))
     assert found >= 396 and pruned.shape[1] <= G.EDGES
+
+
+def tight_group(n=1500, noise=200, dim=16, seed=7):
+    rng = np.random.default_rng(seed)
+    v = np.concatenate([rng.normal(size=dim) + 0.012 * rng.normal(size=(n, dim)) * np.sqrt(dim) / 4, rng.normal(size=(noise, dim))]).astype(np.float32)
+    return [(i, x.tolist(), 0) for i, x in enumerate(v)]
+
+
+def links_of(rows):
+    x = np.array([v for _, v, _ in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return {i: int(n) - 1 for (i, _, _), n in zip(rows, (x @ x.T >= 0.98).sum(axis=1))}
+
+
+@pytest.mark.parametrize("reach", [0.4, 0.0])
+def test_links_of_a_group_over_many_shards(spark, monkeypatch, reach):
+    """With a reach of 0 the first attempt falls short; its rows must not be what is returned."""
+    monkeypatch.setattr(G, "SHARD_ROWS", 60)
+    monkeypatch.setattr(G, "PART_ROWS", 200, raising=False)
+    monkeypatch.setattr(G, "REACH", reach, raising=False)
+    rows = tight_group()
+    want = links_of(rows)
+    got = {r.vec_id: r.n_links for r in G.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)).collect()}
+    assert sum(want.values()) > 2_000_000
+    assert all(got[i] <= n for i, n in want.items()) and sum(got.values()) >= (0.99 if reach else 1) * sum(want.values())
