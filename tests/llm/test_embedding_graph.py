@@ -102,3 +102,12 @@ def test_links_of_a_group_over_many_shards(spark, monkeypatch, reach):
     got = {r.vec_id: r.n_links for r in G.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)).collect()}
     assert sum(want.values()) > 2_000_000
     assert all(got[i] <= n for i, n in want.items()) and sum(got.values()) >= (0.99 if reach else 1) * sum(want.values())
+
+
+def test_audit_covers_every_hundredth_id_and_counts_pairs(spark, monkeypatch):
+    monkeypatch.setattr(G, "SHARD_ROWS", 60)
+    rows = tight_group()
+    want = links_of(rows)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    audit = G.near_vectors_audited(frame)[1]
+    assert audit["links"] == sum(n for i, n in want.items() if i % 100 == 0) and audit["pair_recall"] >= 0.95
