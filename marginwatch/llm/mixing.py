@@ -1,7 +1,8 @@
 """Mixing to target weights: iterative proportional fitting over source, language and topic.
 
-Topics come from spherical k-means over hashed words, fitted on a bounded sample and assigned to every
-document where it is read. Tokens are then summed by cell (source, language, topic), and the cells' weights
+Topics come from spherical k-means over hashed words of all documents: texts are read once into bins, tasks
+then sum document frequencies and, in each round, their documents by centre; only these sums and the centres
+leave them. Tokens are then summed by cell (source, language, topic), and the cells' weights
 are raked in one task, which gets one row a cell and not a document: scaled to the target of each marginal in turn until all hold. A document's probability is its
 cell's weight over its cell's tokens, times one factor that makes the expected tokens what is asked for,
 at most 1; a hash of the document decides.
@@ -10,14 +11,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from .common import mark_among, staged
+from .common import staged
 from .quality import features
 
-#: Documents that topics are fitted on at most, and the bins their words fold into.
-MAX_FITTED, TOPIC_BINS = 4_000, 4_096
+#: Bins that words fold into, rounds of k-means at most.
+TOPIC_BINS, ROUNDS = 4_096, 12
 #: Exponent that flattens a marginal's own shares where no target is given.
 FLATTEN = 0.7
 #: Raking ends when no marginal is off by more than this, relatively, or after so many sweeps.
@@ -26,54 +29,101 @@ TOLERANCE, SWEEPS = 1e-6, 200
 MAX_CELLS = 1_000_000
 
 
-def _vector(text: bytes) -> np.ndarray:
-    v = np.bincount(features(text) % TOPIC_BINS, minlength=TOPIC_BINS).astype(np.float32)
-    return v
-
-
-def fit_topics(vectors: np.ndarray, n_topics: int, rounds: int = 12) -> np.ndarray:
-    """Unit centres by bin, words weighted by rarity; started from the rows farthest from each other."""
-    rarity = np.log((1 + len(vectors)) / (1 + (vectors > 0).sum(axis=0))).astype(np.float32)
-    x = vectors * rarity
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    centres = [x[0]]
-    near = x @ centres[0]
-    for _ in range(1, n_topics):
-        centres.append(x[int(near.argmin())])
-        near = np.maximum(near, x @ centres[-1])
-    c = np.array(centres)
-    for _ in range(rounds):
-        at = (x @ c.T).argmax(axis=1)
-        for k in range(n_topics):
-            if (at == k).any():
-                c[k] = x[at == k].mean(axis=0)
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
-    return c * rarity
-
-
-def with_topics(docs: DataFrame, id_col: str, text_col: str, n_topics: int) -> DataFrame:
-    """(doc_id, row_key, source columns ..., n_tokens, topic) of docs with row_key, in place; a text without words has topic 0."""
-    ids = staged(docs.select("row_key").distinct().orderBy(F.xxhash64("row_key"), "row_key").limit(MAX_FITTED), "mix-sample")
-
-    def learn(batches):
-        rows = [(k, _vector((t or "").encode())) for batch in batches for k, t in zip(batch.column("row_key").to_pylist(), batch.column(text_col).to_pylist())]
-        rows = sorted(rows, key=lambda r: r[0])
-        if rows:
-            yield pa.RecordBatch.from_pydict({"centres": [fit_topics(np.array([v for _, v in rows]), n_topics).ravel().tolist()]})
-
-    sample = mark_among(docs.select("row_key", text_col), ids, ["row_key"]).where("among").join(ids, "row_key").dropDuplicates(["row_key"])
-    found = staged(sample.select("row_key", text_col), "mix-texts").coalesce(1).mapInArrow(learn, "centres array<double>").first()
-    centres = np.zeros((n_topics, TOPIC_BINS), np.float32) if found is None else np.array(found.centres, np.float32).reshape(n_topics, TOPIC_BINS)
-    sent = docs.sparkSession.sparkContext.broadcast(centres)
+def _documents(batch: pa.RecordBatch, scale: np.ndarray):
+    """(bins, their numbers scaled, to unit length) of each document with a word that scale does not hide."""
+    bins = batch.column("bins")
+    flat, ends = bins.flatten().to_numpy(), np.cumsum([0, *pc.list_value_length(bins).to_pylist()])
+    for k in range(len(bins)):
+        at, n = np.unique(flat[ends[k]:ends[k + 1]], return_counts=True)
+        value = n * scale[at]
+        norm = np.linalg.norm(value)
+        if norm > 1e-9:
+            yield k, at, value / norm
+
+
+def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Sums by part of the doubles in rows (part, sums), a row a task and part; the order of addition is fixed."""
+    def add(key, table):
+        rows = sorted(v.as_py() for v in table.column("sums"))
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([sum(np.frombuffer(r, "<f8") for r in rows).tobytes()], pa.binary())})
+
+    return {r.part: np.frombuffer(r.sums, "<f8") for r in parts.groupBy("part").applyInArrow(add, "part int, sums binary").collect()}
+
+
+def _parts(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.astype("<f8").tobytes() for v in sums.values()], pa.binary())], ["part", "sums"])
+
+
+def fit_topics(vectors: DataFrame, n_topics: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Centres by bin, to be summed over a document's bins, words weighted by rarity, of all of (row_key, bins);
+    started from the documents farthest from each other. Equal documents count as often as they are there."""
+    def frequencies(batches):
+        total = np.zeros(TOPIC_BINS + 1)
+        for batch in batches:
+            total[TOPIC_BINS] += len(batch)
+            for _, at, _ in _documents(batch, np.ones(TOPIC_BINS)):
+                total[at] += 1
+        yield _parts({0: total})
+
+    found = _summed(vectors.select("bins").mapInArrow(frequencies, "part int, sums binary")).get(0, np.zeros(TOPIC_BINS + 1))
+    rarity = np.log((1 + found[TOPIC_BINS]) / (1 + found[:TOPIC_BINS]))
+    c, context = np.zeros((0, TOPIC_BINS)), vectors.sparkSession.sparkContext
+    while len(c) < n_topics:
+        sent = context.broadcast(c)
+
+        def farthest(batches):
+            best = None
+            for batch in batches:
+                keys = batch.column("row_key")
+                for k, at, value in _documents(batch, rarity):
+                    near = float((sent.value[:, at] @ value).max(initial=-1.0))
+                    if best is None or (near, keys[k].as_py()) < best[:2]:
+                        best = near, keys[k].as_py(), at.tolist(), value.tolist()
+            if best:
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(best, (pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())))], ["near", "row_key", "at", "value"])
+
+        new = vectors.mapInArrow(farthest, "near double, row_key long, at array<long>, value array<double>").agg(F.min(F.struct("near", "row_key", "at", "value")).alias("m")).first().m
+        if new is None or len(c) and new.near > 1 - 1e-9:  # fewer different documents than topics
+            break
+        c = np.vstack([c, np.zeros(TOPIC_BINS)])
+        c[-1, new["at"]] = new["value"]
+    for _ in range(rounds if len(c) else 0):
+        sent, before = context.broadcast(c), c.copy()
+
+        def by_centre(batches):
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for _, at, value in _documents(batch, rarity):
+                    k = int((sent.value[:, at] @ value).argmax())
+                    sums.setdefault(k, np.zeros(TOPIC_BINS))[at] += value
+            yield _parts(sums)
+
+        for k, total in _summed(vectors.select("bins").mapInArrow(by_centre, "part int, sums binary")).items():
+            c[k] = total / np.linalg.norm(total)
+        if np.abs(c - before).max() < 1e-6:
+            break
+    return np.vstack([c, np.zeros((n_topics - len(c), TOPIC_BINS))]) * rarity
+
+
+def with_topics(docs: DataFrame, text_col: str, n_topics: int) -> DataFrame:
+    """(doc_id, row_key, source columns ..., n_tokens, topic) of docs with row_key; a text without words has topic 0."""
     keep = [c for c in docs.columns if c != text_col]
 
-    def run(batches):
+    def read(batches):
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column(text_col).to_pylist()]
-            topic = [int(sent.value[:, features(t) % TOPIC_BINS].sum(axis=1).argmax()) for t in texts]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array([len(t.split()) for t in texts], pa.int64()), pa.array(topic, pa.int32())], [*keep, "n_tokens", "topic"])
+            bins = pa.array([(features(t) % TOPIC_BINS).astype(np.int32) for t in texts], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array([len(t.split()) for t in texts], pa.int64()), bins], [*keep, "n_tokens", "bins"])
+
+    vectors = staged(docs.mapInArrow(read, docs.select(*keep).schema.add("n_tokens", "long").add("bins", ArrayType(IntegerType()))), "mix-vectors")
+    sent = docs.sparkSession.sparkContext.broadcast(fit_topics(vectors.select("row_key", "bins"), n_topics))
+
+    def assign(batches):
+        for batch in batches:
+            topic = [int(sent.value[:, b.values.to_numpy()].sum(axis=1).argmax()) for b in batch.column("bins")]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (*keep, "n_tokens")], pa.array(topic, pa.int32())], [*keep, "n_tokens", "topic"])
 
-    return docs.mapInArrow(run, docs.select(*keep).schema.add("n_tokens", "long").add("topic", "integer"))
+    return vectors.mapInArrow(assign, docs.select(*keep).schema.add("n_tokens", "long").add("topic", "integer"))
 
 
 def rake(codes: list[np.ndarray], tokens: np.ndarray, targets: list[np.ndarray], tolerance: float = TOLERANCE, sweeps: int = SWEEPS) -> np.ndarray:
@@ -145,7 +195,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     dims = ["source", "lang", "topic"]
     value = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col).cast("string"), text_col).alias("row_key"), value(source_col).alias("source"), value(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    rows = staged(with_topics(rows, "doc_id", "text", n_topics).withColumn("topic", value("topic")), "mix-rows")
+    rows = staged(with_topics(rows, "text", n_topics).withColumn("topic", value("topic")), "mix-rows")
     cells = staged(rows.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
     chances = _chances(cells, dims, targets or {}, flatten, keep_share)
     draw = F.pmod(F.xxhash64("row_key", F.lit("mix")), F.lit(1 << 53)) / F.lit(float(1 << 53))

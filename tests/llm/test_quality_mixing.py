@@ -80,3 +80,13 @@ def test_mix_odd_rows(spark):
     got = mix(docs).collect()
     assert len(got) == 6 and len({r.selected for r in got if r.doc_id == 3 and r.n_tokens == 3}) == 1
     assert mix(docs.limit(0)).count() == 0
+
+
+def test_rare_topic_is_found_among_many_documents(spark):
+    """Three documents of 12,000 have a topic of their own: a bounded sample would leave them without a centre."""
+    common = [(i, " ".join(f"{'ab'[i % 2]}{(i * 7 + j * j) % 40}" for j in range(12)), "s", "en") for i in range(12_000)]
+    rare = [(20_000 + i, " ".join(f"zz{j}" for j in range(12 + i)), "s", "en") for i in range(3)]
+    docs = spark.createDataFrame(common + rare, "doc_id long, text string, source string, lang string").repartition(4)
+    topics = {r.doc_id: r.topic for r in mix(docs, n_topics=3).collect()}
+    assert len({topics[20_000 + i] for i in range(3)}) == 1 and topics[20_000] not in {topics[i] for i in range(12_000)}
+    assert topics == {r.doc_id: r.topic for r in mix(docs.repartition(7), n_topics=3).collect()}
