@@ -35,6 +35,11 @@ _IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an IBAN by country; of other countries, any number from 15 to 34.
+_IBAN_SIZES = {c: int(n) for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
 _LOCAL_PHONE = re.compile(r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}")
 _WORD = re.compile(r"[^\W\d_]+")
 _NO_DIGIT = re.compile(r"[^0-9]+")
@@ -52,6 +57,20 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def _iban(text: str, start: int) -> tuple[int, int] | None:
+    """The longest IBAN from start that ends where a group does: capitals and digits that follow it may look like more groups."""
+    m = _IBAN.match(text, start)
+    end = m.end() if m else start
+    while end > start:
+        compact = text[start:end].replace(" ", "")
+        if len(compact) < 15:
+            break
+        if len(compact) == _IBAN_SIZES.get(compact[:2], len(compact)) and mod97(compact):
+            return start, end
+        end = text.rfind(" ", start, end)
+    return None
+
+
 def _emails(text: str):
     """Each @ has one candidate: all allowed characters before it, back to the last match, and the longest domain after."""
     end, at = 0, text.find("@")
@@ -94,9 +113,8 @@ def spans_of(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, in
             elif len(m[0]) == 9 == len(digits) and sum(int(d) * w for d, w in zip(digits, (3, 7, 1) * 3)) % 10 == 0:
                 weak.append(("routing", *m.span()))
         if a >= 2 and "A" <= text[a - 1] <= "Z" and "A" <= text[a - 2] <= "Z" and not text[a - 3:a - 2].isalnum():
-            m = _IBAN.match(text, a - 2)
-            if m and mod97(m[0].replace(" ", "")):
-                weak.append(("iban", *m.span()))
+            if iban := _iban(text, a - 2):
+                weak.append(("iban", *iban))
         if _LOCAL_PHONE.fullmatch(run[0]):
             weak.append(("local_phone", a, b))
     base = sorted((a, b) for _, a, b in found)

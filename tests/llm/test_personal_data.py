@@ -62,3 +62,10 @@ def test_query_columns(spark):
     assert set(want) <= have and len(got) == len(rows)
     assert next(r for r in got if r.doc_id == 0).spans == ""
     assert find_personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_iban_before_capitals_and_digits():
+    for text, iban in [("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF", "DE89 3704 0044 0532 0130 00"), ("account GB29 NWBK 6016 1331 9268 19 I paid", "GB29 NWBK 6016 1331 9268 19"),
+                       ("IBAN DE89370400440532013000 2024 EUR", "DE89370400440532013000"), ("IBAN NO93 8601 1117 947 USD", "NO93 8601 1117 947")]:
+        assert [text[a:b] for kind, a, b, _ in spans_of(text) if kind == "iban"] == [iban], text
+    assert not [s for s in spans_of("IBAN DE89 3704 0044 0532 0130 01 BIC COBADEFF") if s[0] == "iban"]
