@@ -21,7 +21,7 @@ from ..operators import detection, features, finance, gates, model, scoring
 from ..operators import validation as V
 from ..sources import events as source
 from ..sources import tables as T
-from ..streaming import landing
+from ..streaming import landing, ranges
 from . import retail, serving
 from .oracle import RULE_SQL, with_library
 from .retail import CFG, NOW, RULES_CFG, Workspace
@@ -112,12 +112,84 @@ def _(w):
 def _(w): return gates.landing_ranges(_landed(w))
 
 
-@add("a05_registered_batches", "messages:i", "SELECT count(*) AS messages FROM events")
+# A planned step reads a third of the longest topic partition.
+STEP_ROWS = (f"(SELECT *, min(kafka_offset) OVER w AS low, max(kafka_offset) OVER w AS top, (SELECT max(n) + 2 FROM (SELECT max(kafka_offset) - min(kafka_offset) + 1 AS n FROM ({LAKE_EVENTS}) GROUP BY topic, kafka_partition)) // 3 AS step "
+             f"FROM ({LAKE_EVENTS}) WINDOW w AS (PARTITION BY topic, kafka_partition))")
+
+
+def _source(w: Workspace) -> dict:
+    _event_messages(w)
+    return {"format": "parquet", "path": f"{w.root}/event_messages"}
+
+
+def _planned(w: Workspace, base: str, steps: int | None = None) -> None:
+    ends = ranges.source_ends(w.spark, _source(w), ranges.commit_log(w.spark, f"{base}/log"))
+    most = -(-ends.agg(F.max(F.col("high") - F.col("low"))).first()[0] // 3)
+    while steps is None or steps > 0:
+        if ranges.land_range(w.spark, _source(w), f"{base}/raw", f"{base}/log", most) is None:
+            return
+        steps = None if steps is None else steps - 1
+
+
+def _planned_zone(w: Workspace) -> str:
+    """The events table landed in planned steps to its end, with the directory of a step that never committed."""
+    if "planned" not in w.paths:
+        base = f"{w.root}/planned-{uuid.uuid4().hex}"
+        _planned(w, base)
+        _event_messages(w).selectExpr("*", "current_timestamp() as ingested_at").write.parquet(f"{base}/raw/ingest_batch=00009999")
+        w.paths["planned"] = base
+    return w.paths["planned"]
+
+
+@add("a03_planned_steps", "ingest_batch:i topic:s kafka_partition:i first_offset:i last_offset:i landed:i",
+     f"SELECT (kafka_offset - low) // step + 1 AS ingest_batch, topic, kafka_partition, min(kafka_offset) AS first_offset, max(kafka_offset) AS last_offset, count(*) AS landed FROM {STEP_ROWS} GROUP BY 1, 2, 3")
 def _(w):
-    raw = _landed(w)
-    registry = raw.select("ingest_batch").distinct()
-    stray = raw.selectExpr(*[c for c in raw.columns if c != "ingest_batch"], "-1 as ingest_batch")     # a batch nobody registered
-    return landing.registered(raw.unionByName(stray.select(*raw.columns)), registry).agg(F.expr("count(1) as messages"))
+    # The first step is written and fails before its commit; the next attempt replaces its directory.
+    base = f"{w.root}/steps-{uuid.uuid4().hex}"
+    _event_messages(w).limit(10).selectExpr("*", "current_timestamp() as ingested_at").write.parquet(f"{base}/raw/ingest_batch=00000001")
+    _planned(w, base)
+    return ranges.registered_raw(w.spark, f"{base}/raw", f"{base}/log").groupBy("ingest_batch", "topic", "kafka_partition").agg(
+        *map(F.expr, ["min(kafka_offset) as first_offset", "max(kafka_offset) as last_offset", "count(1) as landed"]))
+
+
+# What happens to the topic partitions between plan and read; `first` and `last` are their planned ends.
+LOSSES = {"whole": "true", "gap": "kafka_offset <> first + 3", "lost_start": "kafka_offset <> first", "lost_end": "kafka_offset <> last", "empty": "kafka_partition <> 2"}
+REPEATED = "kafka_partition = 1 and kafka_offset = first + 5"
+
+
+@add("a04_planned_refusals", "case:s refused:b steps:i missing:i repeated:i",
+     f"SELECT * FROM (WITH m AS (SELECT topic, kafka_partition, kafka_offset, min(kafka_offset) OVER w AS first, max(kafka_offset) OVER w AS last FROM ({LAKE_EVENTS}) WINDOW w AS (PARTITION BY topic, kafka_partition)), "
+     "c AS (" + " UNION ALL ".join(f"SELECT '{n}' AS \"case\", count(*) FILTER (NOT ({p})) AS missing, 0 AS repeated FROM m" for n, p in LOSSES.items())
+     + f" UNION ALL SELECT 'repeat', 0, count(*) FILTER ({REPEATED}) FROM m) SELECT \"case\", missing + repeated > 0 AS refused, CASE WHEN missing + repeated > 0 THEN 0 ELSE 1 END AS steps, missing, repeated FROM c)")
+def _(w):
+    log = ranges.commit_log(w.spark, f"{w.root}/no-log")
+    plan = ranges.plan_step(ranges.source_ends(w.spark, _source(w), log), log)
+    ends = w.spark.createDataFrame(plan, ranges.PLAN).selectExpr("topic", "kafka_partition", "first_offset as first", "last_offset as last")
+    rows = _event_messages(w).join(F.broadcast(ends), ["topic", "kafka_partition"])
+    cases = {n: rows.where(p) for n, p in LOSSES.items()} | {"repeat": rows.unionByName(rows.where(REPEATED))}
+    out = []
+    for name, case in cases.items():
+        base = f"{w.root}/refusals-{uuid.uuid4().hex}"
+        case.drop("first", "last").write.parquet(f"{base}/source")
+        try:
+            ranges.land_range(w.spark, {"format": "parquet", "path": f"{base}/source"}, f"{base}/raw", f"{base}/log", plan=plan)
+            refused = False
+        except ranges.LandingRefused:
+            refused = True
+        steps = ranges.commit_log(w.spark, f"{base}/log").select("ingest_batch").distinct()
+        stored = w.spark.read.parquet(f"{base}/raw").agg(F.count_distinct("topic", "kafka_partition", "kafka_offset").alias("d"), F.expr("count(1) as n"))
+        out.append(stored.selectExpr(f"'{name}' as case", f"{refused} as refused", f"{sum(r.last_offset - r.first_offset + 1 for r in plan)} - d as missing", "n - d as repeated").withColumn("steps", steps.agg(F.expr("count(1) as n")).scalar()))
+    return reduce(DataFrame.unionByName, out)
+
+
+@add("a05_registered_batches", "messages:i batches:i stored:i",
+     f"SELECT count(*) AS messages, max((kafka_offset - low) // step) + 1 AS batches, 2 * count(*) AS stored FROM {STEP_ROWS}")
+def _(w):
+    # On disk lies one more directory, of a step that never committed; `stored` counts it, the registry does not know it.
+    base = _planned_zone(w)
+    raw = ranges.registered_raw(w.spark, f"{base}/raw", f"{base}/log")
+    stored = w.spark.read.schema("topic string").parquet(f"{base}/raw").agg(F.expr("count(1) as n")).scalar()
+    return raw.agg(F.expr("count(1) as messages"), F.count_distinct("ingest_batch").alias("batches")).withColumn("stored", stored)
 
 
 def _text_events(w: Workspace) -> DataFrame:
@@ -807,6 +879,16 @@ def _(w):
     return gates.ingest_lag(ranges, marks)
 
 
+@add("j23_lag_behind", "landed:i expected:i lag:i reconciled:b",
+     f"SELECT sum(least(n, 2 * step)) AS landed, sum(least(n, 2 * step)) AS expected, sum(greatest(n - 2 * step, 0)) AS lag, true AS reconciled "
+     f"FROM (SELECT DISTINCT topic, kafka_partition, top - low + 1 AS n, step FROM {STEP_ROWS})")
+def _(w):
+    # Two steps only: what the source holds beyond the log is the lag.
+    base = f"{w.root}/behind-{uuid.uuid4().hex}"
+    _planned(w, base, 2)
+    return ranges.lag(w.spark, _source(w), f"{base}/raw", f"{base}/log")
+
+
 @add("j24_source_totals", "rows:i sales_revenue:d sales_profit:d sales_units:d return_value:d naive_revenue_all_rows:d naive_profit_all_rows:d",
      "SELECT count(*) AS rows, sum(revenue) FILTER (event_type = 'SALE') AS sales_revenue, sum(profit) FILTER (event_type = 'SALE') AS sales_profit, "
      "sum(quantity) FILTER (event_type = 'SALE') AS sales_units, sum(revenue) FILTER (event_type = 'RETURN') AS return_value, sum(revenue) AS naive_revenue_all_rows, "

@@ -155,7 +155,7 @@ def test_leakage_sums_per_type_and_keeps_opportunity_apart(spark):
     out = {r.leakage_type: r for r in finance.leakage(anomalies, products, ANALYTICS, LO, HI).collect()}
     assert set(out) == {"INVENTORY_DISCREPANCY", "LOW_MARGIN_SHORTFALL"}
     assert (out["INVENTORY_DISCREPANCY"].exposure_amount, out["INVENTORY_DISCREPANCY"].source_anomaly_id) == (500000, "a2;a3")
-    assert out["LOW_MARGIN_SHORTFALL"].exposure_amount == 400 and out["LOW_MARGIN_SHORTFALL"].basis.startswith("Pricing opportunity")
+    assert out["LOW_MARGIN_SHORTFALL"].exposure_amount == 400 and out["LOW_MARGIN_SHORTFALL"].basis == finance.LEAKAGE_BASIS["LOW_MARGIN_SHORTFALL"]
 
 
 def test_kpis(spark):
