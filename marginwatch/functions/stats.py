@@ -1,6 +1,8 @@
-"""Exact order statistics by one distributed way, whatever the size.
+"""Exact order statistics, by ways that are the same whatever the size.
 
-`order_stats` is the cumulative distribution of a column with one row per (group, distinct
+`quantiles` selects wanted ranks by refinement: one approximate cut of all groups, exact counts below it, and only
+the values between two cuts are sorted. `with_positions` ranks rows in place, by counts of the pieces before
+theirs. `order_stats` is the cumulative distribution of a column with one row per (group, distinct
 value). Equal values collapse map-side first, then every group is cut at approximate quantiles
 of all values into as many pieces as the session shuffles to, so a window task sees about that
 share of the distinct values however large one group is. The cuts only spread the work: ranks,
@@ -42,35 +44,64 @@ def order_stats(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int
         *by, value, "ties", f"_before + sum(ties) over {_over([*by, '_b'], value)} - ties as less", "n")
 
 
-def _at(position: str, value: str) -> str:
-    """Aggregate text: the value at a 0-based position of the sorted group."""
-    return f"max(case when less <= {position} and {position} < less + ties then {value} end)"
+# ------------------------------------------------------------------ selection of ranks
+#: Accuracy of the approximate cuts, and their distances from a wanted share in units of its error.
+ACCURACY, STEPS = 10_000, (2, 8)
 
 
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), kind: str = "linear") -> DataFrame:
-    """One row per group: n and one column per name in `probs`, by the distributed way. `linear`
-    interpolates at p*(n-1); `index` takes the element floor(p*n)."""
-    stats = order_stats(df, value, by)
-    aggs, outs = ["max(n) as n"], []
+    """One row per group: n and one column per name in `probs`. `linear` interpolates at p*(n-1); `index`
+    takes the element floor(p*n). `by` columns must not be null.
+
+    The first aggregation takes approximate cuts around every wanted share, whose error is bounded, the second
+    counts what lies outside the cuts that must hold the wanted ranks and the distinct values inside. Those are
+    some thousandths of a group (or all of a group of up to about a thousand values), which are then put in order."""
+    by = list(by)
+    rows = df.where(f"{value} is not null").selectExpr(*by, f"cast({value} as double) as _v")
+    marks = sorted({min(1.0, max(0.0, p + sign * k / ACCURACY)) for p in probs.values() for k in STEPS for sign in (-1, 1)})
+    cuts = rows.groupBy(*by).agg(*map(F.expr, ["count(1) as n", "min(_v) as _least", "max(_v) as _most",
+                                               f"percentile_approx(_v, array({', '.join(f'{m!r}D' for m in marks)}), {ACCURACY}) as _cuts"]))
+
+    def ends(p: float) -> tuple[str, str]:
+        return (f"floor({p!r}D * (n - 1))", f"ceil({p!r}D * (n - 1))") if kind == "linear" else (f"least(floor({p!r}D * n), n - 1)",) * 2
+
+    bounds = []     # of each wanted share, two values that its ranks lie between for certain
+    for p in probs.values():
+        low, high = ends(float(p))
+        below = " ".join(f"when {m!r}D + 1D / {ACCURACY} <= {low} / n then _cuts[{i}]" for i, m in reversed(list(enumerate(marks))))
+        above = " ".join(f"when {m!r}D - 1D / {ACCURACY} >= ({high} + 1) / n then _cuts[{i}]" for i, m in enumerate(marks))
+        bounds.append(f"named_struct('a', case {below} else _least end, 'b', case {above} else _most end)")
+    cuts = cuts.selectExpr(*by, "n", f"array({', '.join(bounds)}) as _between")
+    placed = rows.join(cuts, by) if by else rows.withColumn("_between", cuts.select("_between").scalar()).withColumn("n", cuts.select("n").scalar())
+    placed = placed.selectExpr(*by, "n", "_v", "exists(_between, x -> _v >= x.a and _v <= x.b) as _in",
+                               "aggregate(_between, 0, (s, x) -> s + int(_v >= x.a) + int(_v > x.b)) as _piece")
+    counted = placed.groupBy(*by, "n", "_piece", F.expr("case when _in then _v end as _at")).agg(F.expr("min(_v) as _from"), F.expr("count(1) as _c"))
+    lists = counted.groupBy(*by, "n").agg(F.expr("sort_array(collect_list(struct(_from, _at, _c))) as _l"))
+
+    def at(rank: str) -> str:
+        return f"aggregate(_l, named_struct('left', {rank} + 1, 'v', cast(null as double)), (s, x) -> named_struct('left', s.left - x._c, 'v', if(s.left > 0 and s.left <= x._c, x._at, s.v)), s -> s.v)"
+
+    outs = []
     for name, p in probs.items():
-        if kind == "linear":
-            pos = f"({float(p)}D * (n - 1))"
-            aggs += [f"{_at(f'floor{pos}', value)} as _lo_{name}", f"{_at(f'ceil{pos}', value)} as _hi_{name}"]
-            outs.append(f"_lo_{name} + (_hi_{name} - _lo_{name}) * ({pos} - floor{pos}) as {name}")
-        else:
-            aggs.append(f"{_at(f'least(floor({float(p)}D * n), n - 1)', value)} as {name}")
-            outs.append(name)
-    return stats.groupBy(*by).agg(*map(F.expr, aggs)).selectExpr(*by, "n", *outs)
+        low, high = ends(float(p))
+        outs.append(f"{at(low)} + ({at(high)} - {at(low)}) * ({p!r}D * (n - 1) - {low}) as {name}" if kind == "linear" else f"{at(low)} as {name}")
+    return lists.selectExpr(*by, "n", *outs)
 
 
 # ------------------------------------------------------------------ columns added to rows
 def with_quantiles(df: DataFrame, specs: dict[str, tuple[str, float]], by: Sequence[str] = ()) -> DataFrame:
-    """Add one column per spec (expression, p): the group's interpolated percentile on each row."""
-    by = list(by)
-    out = df
-    for name, (e, p) in specs.items():
-        q = quantiles(df.selectExpr(*by, f"{e} as _v"), "_v", {name: p}, by).drop("n")
-        out = out.join(q, by, "left") if by else out.withColumn(name, q.scalar())
+    """Add one column per spec (expression, p): the group's interpolated percentile on each row. Specs of
+    one p share the passes."""
+    by, out = list(by), df
+    for p in dict.fromkeys(p for _, p in specs.values()):
+        mine = {name: e for name, (e, q) in specs.items() if q == p}
+        found = quantiles(melt(df, by, mine), "value", {"q": p}, ["component", *by])
+        if by:
+            wide = found.groupBy(*by).agg(*[F.expr(f"max(case when component = '{name}' then q end) as {name}") for name in mine])
+            out = out.join(wide, by, "left")
+        else:
+            for name in mine:
+                out = out.withColumn(name, found.where(F.col("component") == name).select("q").scalar())
     return out
 
 
@@ -92,16 +123,36 @@ def melt(df: DataFrame, ids: Sequence[str], columns: dict[str, str]) -> DataFram
     return df.selectExpr(*ids, f"inline(array({items}))")
 
 
+def with_positions(df: DataFrame, key: str, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Add less (rows of the group below the row's value), ties (rows that hold it) and n to rows that have a
+    value. Rows are put into pieces by approximate cuts of all values and ranked inside; what the pieces before
+    theirs hold is added from a table of a row for each piece and group. Nothing is keyed by the value:
+    rows of a value that fills several pieces are dealt among them by `key`, and its counts, of which there
+    are no more than pieces, come with that table."""
+    by, pieces = list(by), _pieces(df)
+    rows = df.withColumn("_v", F.expr(f"cast({value} as double)"))
+    marks = ", ".join(str(i / pieces) for i in range(1, pieces))
+    cuts = rows.agg(F.expr(f"percentile_approx(_v, array({marks}), {100 * pieces})")).first()[0] or []
+    hot = sorted({c for c, following in zip(cuts, cuts[1:]) if c == following})
+    placed = (rows.withColumn("_cuts", F.array(*[F.lit(c) for c in cuts]))
+              .withColumn("_b", F.expr(f"size(filter(_cuts, c -> c < _v)) + pmod(xxhash64({key}), greatest(size(filter(_cuts, c -> c = _v)), 1))")).drop("_cuts"))
+    counts = ["count(1) as _c", *[f"count_if(_v < {c!r}D) as _less{i}" for i, c in enumerate(hot)], *[f"count_if(_v = {c!r}D) as _ties{i}" for i, c in enumerate(hot)]]
+    whole = [f"sum({c}) over {_over(by)} as {c}" for i in range(len(hot)) for c in (f"_less{i}", f"_ties{i}")]
+    before = placed.groupBy(*by, "_b").agg(*map(F.expr, counts)).selectExpr(*by, "_b", f"sum(_c) over {_over(by, '_b')} - _c as _before", f"sum(_c) over {_over(by)} as n", *whole)
+    inside = placed.selectExpr("*", f"rank() over {_over([*by, '_b'], '_v')} - 1 as _less", f"count(1) over {_over([*by, '_b', '_v'])} as _ties")
+    pick = lambda what, other: f"case {' '.join(f'when _v = {c!r}D then {what}{i}' for i, c in enumerate(hot))} else {other} end" if hot else other
+    return inside.join(before, [*by, "_b"]).selectExpr(*df.columns, f"{pick('_less', '_before + _less')} as less", f"{pick('_ties', '_ties')} as ties", "n")
+
+
 def with_pct_ranks(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]], by: Sequence[str] = ()) -> DataFrame:
     """Add one column per spec (expression, higher_is_better): percentile rank 0..1 with tied
     ranks averaged, over all rows or per `by` group. Null, or a group with at most one value,
     scores 0.5. `key` is the unique key of `df`."""
     by = list(by)
-    long = melt(df, [key, *by], {k: e for k, (e, _) in specs.items()})
-    stats = order_stats(long, "value", ["component", *by])
+    long = melt(df, [key, *by], {k: e for k, (e, _) in specs.items()}).where("value is not null")
     higher = ", ".join(f"'{k}'" for k, (_, h) in specs.items() if h) or "''"
     rank = "(less + (ties + 1) / 2 - 1) / (n - 1)"
-    ranked = (long.where("value is not null").join(stats, ["component", *by, "value"])
+    ranked = (with_positions(long, key, "value", ["component", *by])
               .selectExpr(key, "component", f"case when n <= 1 then 0.5D when component in ({higher}) then {rank} else 1 - {rank} end as r")
               .groupBy(key).agg(*[F.expr(f"max(case when component = '{k}' then r end) as _r_{k}") for k in specs]))
     return df.join(ranked, key, "left").selectExpr(*df.columns, *[f"coalesce(_r_{k}, 0.5D) as {k}" for k in specs])

@@ -43,6 +43,41 @@ def test_hot_value_and_one_big_group(spark):
     assert placed.agg({"ties": "sum"}).first()[0] == len(rows) and placed.where("less + ties > n").count() == 0
 
 
+def test_ranks_of_a_value_that_most_rows_share(spark):
+    """Nine tenths of the products have one velocity: its rows are dealt over pieces, and no exchange has the value as key."""
+    rng = random.Random(3)
+    rows = [(f"P{i:05d}", "ab"[i % 7 == 0], 0.0 if rng.random() < 0.9 else rng.gauss(0, 1)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "product_id string, category string, v double").repartition(5)
+    long = stats.with_positions(df, "product_id", "v", ["category"])
+    got = {r.product_id: (r.less, r.ties, r.n) for r in long.collect()}
+    pdf = df.toPandas().set_index("product_id")
+    g = pdf.groupby("category")["v"]
+    want = pd.DataFrame({"less": g.rank(method="min") - 1, "ties": pdf.groupby(["category", "v"])["v"].transform("size"), "n": g.transform("size")})
+    assert got == {k: (int(r.less), int(r.ties), int(r.n)) for k, r in want.iterrows()}
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    keyed = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert keyed and not any("_v#" in line.split("hashpartitioning")[1].split("ENSURE")[0] for line in keyed)
+
+
+@pytest.mark.parametrize("kind", ["linear", "index"])
+def test_selection_of_ranks_in_large_and_small_groups(spark, monkeypatch, kind):
+    """With coarse cuts, so that brackets are real: some values are inside, most are counted outside."""
+    monkeypatch.setattr(stats, "ACCURACY", 100)
+    rng = random.Random(8)
+    rows = [("big", rng.gauss(0, 1)) for _ in range(4000)] + [("hot", float(rng.random() < 0.3)) for _ in range(3000)] + [(f"s{k}", float(rng.randrange(9))) for k in range(1, 12) for _ in range(k)] + [("big", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    probs = {"a": 0.05, "m": 0.5, "z": 0.95, "lo": 0.0, "hi": 1.0}
+    got = {r.g: r for r in stats.quantiles(df, "v", probs, ["g"], kind).collect()}
+    for g in {g for g, _ in rows}:
+        v = sorted(x for h, x in rows if h == g and x is not None)
+        assert got[g].n == len(v)
+        for name, p in probs.items():
+            assert got[g][name] == pytest.approx(np.quantile(v, p) if kind == "linear" else v[min(int(p * len(v)), len(v) - 1)]), (g, name)
+    whole = stats.quantiles(df, "v", {"m": 0.5}, kind=kind).first()
+    v = sorted(x for _, x in rows if x is not None)
+    assert whole.n == len(v) and whole.m == pytest.approx(np.median(v) if kind == "linear" else v[len(v) // 2])
+
+
 def test_percentile_rank_nulls_and_direction(spark):
     df = spark.createDataFrame([(1, 0.1), (2, 0.3), (3, 0.2), (4, None)], "id int, v double")
     rows = {r.id: (r.up, r.down) for r in stats.with_pct_ranks(df, "id", {"up": ("v", True), "down": ("v", False)}).collect()}
