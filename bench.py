@@ -50,7 +50,7 @@ def main() -> None:
     timed("map_tables_to_events", lambda: (w.source(), w.events()))
     timed("stage_encode_messages", w.messages)
     timed("stage_ingest", ingest)
-    timed("stage_clean", lambda: (w.clean_events(), w.failures(), w.account()))
+    timed("stage_clean", lambda: (w.judged(), w.account()))
     timed("stage_transform", lambda: (w.dims(), w.facts()))
     timed("stage_features", w.features)
     timed("stage_analytics", lambda: (w.anomalies(), w.scorecards(), w.leakage(), w.kpis()))

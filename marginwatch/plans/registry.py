@@ -343,7 +343,7 @@ def _(w): return _typed(w).groupBy("event_type", "expected_topic").agg(F.expr("c
      "SELECT event_id, ts AS event_ts, event_type, branch_id, city, product_id, category, supplier_id, t_qty AS quantity, t_unit_cost AS unit_cost, t_unit_price AS unit_price, "
      "t_discount AS discount_pct, t_revenue AS revenue, t_cost AS purchase_cost, t_profit AS profit, t_value AS event_value, return_reason, topic AS kafka_topic, kafka_offset, "
      "has_warning FROM judged WHERE NOT is_rejected")
-def _(w): return V.accepted(w.evaluated())
+def _(w): return V.accepted(w.judged())
 
 
 RULE_ORDER = [*RULE_SQL, "POSSIBLE_DUPLICATE_BUSINESS_KEY", "DUPLICATE_EVENT_ID"]
@@ -365,7 +365,7 @@ def _rule_query(number: int, code: str) -> None:
             rows = _flagged(w) if "_conflict" in predicate else _typed(w)
             hits = rows.where(predicate).selectExpr("*", f"{detail} as detail")
         else:
-            hits = w.evaluated().where(F.expr(f"exists(failures, f -> f.rule_code = '{code}')"))
+            hits = w.judged().where(F.expr(f"exists(failures, f -> f.rule_code = '{code}')"))
         return hits.selectExpr("topic", "kafka_offset", "event_id", f"'{code}' as rule_code", f"'{severity}' as severity")
 
     add(f"c{number:02d}_{code.lower()}", "topic:s kafka_offset:i event_id:s rule_code:s severity:s",
@@ -406,11 +406,11 @@ def _(w): return V.evaluate(V.parse_events(w.messages()), RULES_CFG, NOW)
 
 @add("c32_failure_log", "event_id:s kafka_topic:s kafka_offset:i rule_code:s severity:s disposition:s",
      "SELECT event_id, topic AS kafka_topic, kafka_offset, rule_code, severity, disposition FROM failures")
-def _(w): return V.failure_log(w.evaluated(), RULES_CFG)
+def _(w): return V.failure_log(w.judged(), RULES_CFG)
 
 
 @add("c33_row_accounting", "raw:i accepted:i rejected:i warned_only:i balanced:b", "SELECT *, raw = accepted + rejected AS balanced FROM account")
-def _(w): return V.accounting(w.evaluated())
+def _(w): return V.accounting(w.judged())
 
 
 @add("c34_rule_counts", "rule_code:s severity:s failures:i status:s",

@@ -329,11 +329,21 @@ class Workspace:
         self.evaluated()
         return self.staged["product_master"], self.staged["branch_master"]
 
+    def judged(self) -> DataFrame:
+        """Every message with its verdict, written once; the accounting is observed in that write."""
+        if "judged" not in self.staged:
+            judged, counts = validation.write_judged(self.evaluated(), f"{self.root}/judged")
+            columns = "raw bigint, accepted bigint, rejected bigint, warned_only bigint"
+            self.stage("account", lambda: self.spark.createDataFrame([tuple(counts.values())], columns).withColumn("balanced", F.expr("raw = accepted + rejected")))
+            self.staged["judged"] = judged
+        return self.staged["judged"]
+
     def clean_events(self) -> DataFrame:
-        return self.stage("clean_events", lambda: validation.accepted(self.evaluated()))
+        return validation.accepted(self.judged())
 
     def failures(self) -> DataFrame:
-        return self.stage("failures", lambda: validation.failure_log(self.evaluated(), RULES_CFG))
+        return validation.failure_log(self.judged(), RULES_CFG)
 
     def account(self) -> DataFrame:
-        return self.stage("account", lambda: validation.accounting(self.evaluated()))
+        self.judged()
+        return self.staged["account"]
