@@ -10,11 +10,11 @@ METRICS = {
     "gross_margin": ("gross margin", "pct"),
     "ppv_pct": ("purchase cost versus standard cost", "pct_signed"),
 }
-# Factor, pattern of a value, pattern of a difference. Any other unit is a plain number.
+# Of each unit: factor, what follows a value, what follows a difference, whether a value shows its sign.
 UNITS = {
-    "pct": (100, "%.1f%%", "%.1f percentage points"),
-    "pct_signed": (100, "%+.1f%%", "%.1f percentage points"),
-    "units": (1, "%.1f units", "%.1f units"),
+    "pct": (100, " %", " points", False),
+    "pct_signed": (100, " %", " points", True),
+    "units": (1, " units", " units", False),
 }
 PEER_NOUN = {"branch": "branches", "product": "products", "supplier": "suppliers"}
 UNIT_NOUN = {"sale_events": "sales", "adjustment_events": "stock adjustments", "purchase_events": "purchases"}
@@ -30,48 +30,55 @@ def metric(name: str) -> tuple[str, str]:
     return METRICS.get(name, (name, "number"))
 
 
-def _shown(v: str, pattern: int) -> str:
+def number(v: str, digits: int = 1) -> str:
+    """SQL: a number as text, rounded half up to a fixed number of digits."""
+    return f"string(cast(round({v}, {digits}) as decimal(38,{digits})))"
+
+
+def grouped(v: str) -> str:
+    """SQL: a whole number as text, thousands set apart by commas."""
+    return f"format_number(round({v}, 0), 0)"
+
+
+def _by_unit(v: str, after: int, signed: bool) -> str:
     """SQL: a number in the unit that the column `kind` names."""
-    known = [f"when '{unit}' then format_string('{spec[pattern]}', {v} * {spec[0]}D)" for unit, spec in UNITS.items()]
-    return f"case kind {' '.join(known)} else format_number({v}, 2) end"
+    known = []
+    for unit, spec in UNITS.items():
+        sign = f"if({v} >= 0, '+', ''), " if signed and spec[3] else ""
+        known.append(f"when '{unit}' then concat({sign}{number(f'{v} * {spec[0]}D')}, '{spec[after]}')")
+    return f"case kind {' '.join(known)} else {number(v, 2)} end"
 
 
 def value_text(v: str) -> str:
-    return _shown(v, 1)
+    return _by_unit(v, 1, True)
 
 
 def gap_text() -> str:
-    return f"concat({_shown('gap', 2)}, ' ', if(direction = 'high', 'higher', 'lower'))"
+    return f"concat({_by_unit('gap', 2, False)}, if(direction = 'high', ' above', ' below'))"
 
 
 def explain_peer(currency: str) -> str:
     """Over: entity_label, metric_label, kind, direction, value, median, gap, z, severity, n, n_noun,
     peers, peer_noun, estimated_exposure, annualised_exposure, years."""
-    head = (f"concat(entity_label, ': ', metric_label, ' is ', {value_text('value')}, ' against a peer median of ', "
-            f"{value_text('median')}, ' across ', string(peers), ' ', peer_noun, ' (', {gap_text()}, "
-            f"format_string('; robust z = %.1f, ', z), severity, ' severity).')")
-    sample = "concat('Based on ', format_number(n, 0), ' ', n_noun, '.')"
-    cost = (f"case when estimated_exposure > 0 then concat('Estimated exposure: {currency} ', format_number(estimated_exposure, 0), "
-            f"format_string(' over %.1f years', years), case when annualised_exposure <> 0 then "
-            f"concat(' (about {currency} ', format_number(annualised_exposure, 0), ' a year).') else '.' end) end")
-    return f"concat_ws(' ', {head}, {sample}, {cost})"
+    what = f"concat(entity_label, ', ', metric_label, ': ', {value_text('value')}, '. The middle of ', string(peers), ' ', peer_noun, ' is ', {value_text('median')}, '.')"
+    how_far = f"concat('It lies ', {gap_text()}, ' that, or ', {number('z')}, ' robust deviations: ', severity, '.')"
+    sample = f"concat('Seen in ', {grouped('n')}, ' ', n_noun, '.')"
+    yearly = f"if(annualised_exposure <> 0, concat(', {currency} ', {grouped('annualised_exposure')}, ' in a year'), '')"
+    cost = f"case when estimated_exposure > 0 then concat('At stake: {currency} ', {grouped('estimated_exposure')}, ' in ', {number('years')}, ' years', {yearly}, '.') end"
+    return f"concat_ws(' ', {what}, {how_far}, {sample}, {cost})"
 
 
 def explain_temporal(recent_months: int) -> str:
     """Over: entity_label, metric_label, kind, direction, recent, base_mean, spread, gap, z, severity, baseline_months."""
-    return (f"concat(entity_label, ': ', metric_label, ' averaged ', {value_text('recent')}, ' over the last {recent_months} months, versus ', "
-            f"{value_text('base_mean')}, ' (typical monthly variation ', {value_text('spread')}, ') in the ', string(baseline_months), "
-            f"' months before: ', {gap_text()}, ' than its own history (z = ', format_string('%.1f, ', z), severity, ' severity).')")
+    return (f"concat(entity_label, ', ', metric_label, ': ', {value_text('recent')}, ' as the mean of its latest {recent_months} months, ', {gap_text()}, ' the ', "
+            f"{value_text('base_mean')}, ' of the ', string(baseline_months), ' before. One month differs from the next by about ', {value_text('spread')}, "
+            f"'; the shift has a z of ', {number('z')}, ': ', severity, '.')")
 
 
 def explain_stockout(velocity_days: int, window_days: int) -> str:
-    """Over: velocity_per_day, pct_velocity, replenishment_ratio, days_since_last_purchase. Parts
-    without data are skipped; the first letter is upper case and the rest lower."""
-    pace = (f"case when velocity_per_day is not null then format_string('sells %.1f units/day over the last {velocity_days} days "
-            f"(faster than %.0f%% of products)', velocity_per_day, pct_velocity * 100) end")
-    cover = (f"case when replenishment_ratio is not null then format_string('only %.0f%% of units sold in the last {window_days} days "
-             f"were replenished by purchases', replenishment_ratio * 100) end")
-    last = "concat('last purchase was ', string(days_since_last_purchase), ' days ago')"
-    parts = f"concat_ws('; ', {pace}, {cover}, {last})"
-    return (f"case when {parts} = '' then 'Insufficient movement data.' "
-            f"else concat(upper(substr({parts}, 1, 1)), lower(substr({parts}, 2)), '.') end")
+    """Over: velocity_per_day, pct_velocity, replenishment_ratio, days_since_last_purchase. A sentence
+    for each that is known."""
+    pace = f"concat('{velocity_days} days of sales: ', {number('velocity_per_day')}, ' units a day, ahead of ', {number('pct_velocity * 100', 0)}, ' % of the products.')"
+    cover = f"concat('Purchases made up for ', {number('replenishment_ratio * 100', 0)}, ' % of what {window_days} days sold.')"
+    last = "concat('Bought last ', string(days_since_last_purchase), ' days ago.')"
+    return f"coalesce(nullif(concat_ws(' ', {pace}, {cover}, {last}), ''), 'No movement to judge by.')"

@@ -40,6 +40,24 @@ def enforce(gates: DataFrame) -> None:
         raise RuntimeError("Critical data-quality checks failed: " + ", ".join(f"{r.check_name} ({r.message})" for r in failed))
 
 
+HISTORY = "run_id string, checked_at timestamp, layer string, check_name string, severity string, status string, observed double, expected double, message string"
+
+
+def settle(gates: DataFrame, history: str, run_id: str, now: datetime) -> DataFrame:
+    """A stored step: the results are appended to the gate history, and only then enforced, from what
+    was stored. A run that fails is on record with what it saw; the gates are evaluated once."""
+    spark = gates.sparkSession
+    stamped = gates.select(F.lit(run_id).alias("run_id"), F.lit(now).cast("timestamp").alias("checked_at"), *gates.columns)
+    stamped.coalesce(1).write.mode("append").parquet(history)
+    stored = spark.read.schema(HISTORY).parquet(history).where(F.col("run_id") == run_id)
+    enforce(stored)
+    return stored
+
+
+def gate_history(spark: SparkSession, history: str) -> DataFrame:
+    return spark.read.schema(HISTORY).parquet(history)
+
+
 # ------------------------------------------------------------------ landing
 def landing_ranges(raw: DataFrame, planned: DataFrame | None = None) -> DataFrame:
     """Per topic partition: rows landed, distinct offsets, first and last offset, what was planned,

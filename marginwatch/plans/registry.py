@@ -507,9 +507,20 @@ BRANCH_M = ("branch_id:s year_month:s month_start:t sale_events:i units_sold:i g
 
 
 @add("e01_as_of_date", "as_of:t", "SELECT d AS as_of FROM refday")
+def _(w): return w.spark.createDataFrame([(features.as_of(w.facts()),)], "as_of date")
+
+
+AS_OF = "1996-06-30"     # a configured day inside the data
+
+
+@add("e01_configured_as_of", "as_of:t fact:s rows:i last_day:t",
+     f"SELECT '{AS_OF}' AS as_of, fact, count(*) AS rows, CAST(max(ts) AS DATE) AS last_day FROM (" + " UNION ALL ".join(
+         f"SELECT '{f}' AS fact, event_ts AS ts FROM {f}" for f in sorted(set(FACT_OF_TYPE.values()))) + f") WHERE CAST(ts AS DATE) <= DATE '{AS_OF}' GROUP BY fact")
 def _(w):
-    moved = reduce(DataFrame.unionByName, [w.facts()[t].select("event_ts") for t in features.MOVED])
-    return moved.agg(F.expr("to_date(max(event_ts)) as as_of"))
+    # The configured day wins over the latest event, and no later row is left in any fact.
+    facts = features.cut(w.facts(), AS_OF)
+    day = features.as_of(facts, AS_OF)
+    return reduce(DataFrame.unionByName, [df.selectExpr(f"'{n}' as fact", "event_ts").groupBy("fact").agg(F.expr("count(1) as rows"), F.expr("to_date(max(event_ts)) as last_day")) for n, df in facts.items()]).withColumn("as_of", F.lit(day))
 
 
 @add("e02_movements", "branch_id:s product_id:s event_ts:t kind:s quantity:i value:d", "movements")
@@ -656,21 +667,44 @@ LABEL = ("CASE metric WHEN 'discount_rate' THEN 'discount rate' WHEN 'return_rat
          "WHEN 'damage_rate' THEN 'damage rate' WHEN 'gross_margin' THEN 'gross margin' ELSE 'purchase cost versus standard cost' END")
 
 
-@add("f10_peer_explanations", "anomaly_id:s start:s sample:s",
-     f"SELECT check_id || ':' || entity_id AS anomaly_id, entity_label || ': ' || {LABEL} || ' is' AS start, 'Based on ' || format('{{:,}}', n) || ' ' || {NOUN} || '.' AS sample FROM peer")
-def _(w): return _peer(w).selectExpr("anomaly_id", "regexp_extract(explanation, '^(.* is) ', 1) as start", "regexp_extract(explanation, '(Based on [^.]*[.])', 1) as sample")
+def _num(v: str, digits: int = 1) -> str:
+    return f"CAST(CAST(round({v}, {digits}) AS DECIMAL(38,{digits})) AS VARCHAR)"
+
+
+def _grouped(v: str) -> str:
+    return f"format('{{:,}}', CAST(round({v}) AS BIGINT))"
+
+
+def _in_unit(v: str, after: str, signed: bool = False) -> str:
+    """SQL: a value in the unit of the row's metric."""
+    sign = f"CASE WHEN {v} >= 0 THEN '+' ELSE '' END || " if signed else ""
+    return (f"CASE metric WHEN 'adjustment_avg_qty' THEN {_num(v)} || ' units' WHEN 'ppv_pct' THEN {sign}{_num(v + ' * 100')} || '{after}' ELSE {_num(v + ' * 100')} || '{after}' END")
+
+
+_GAP = f"{_in_unit('gap', ' points')} || CASE direction WHEN 'high' THEN ' above' ELSE ' below' END"
+_MONEY = CFG["currency"]
+
+
+@add("f10_peer_explanations", "anomaly_id:s explanation:s robust_z:d",
+     f"SELECT check_id || ':' || entity_id AS anomaly_id, entity_label || ', ' || {LABEL} || ': ' || {_in_unit('value', ' %', True)} || '. The middle of ' || peers || ' ' || "
+     f"CASE entity_type WHEN 'branch' THEN 'branches' ELSE entity_type || 's' END || ' is ' || {_in_unit('med', ' %', True)} || '. It lies ' || {_GAP} || ' that, or ' || {_num('z')} || ' robust deviations: ' || severity "
+     f"|| '. Seen in ' || {_grouped('n')} || ' ' || {NOUN} || '.' || CASE WHEN estimated_exposure > 0 THEN ' At stake: {_MONEY} ' || {_grouped('estimated_exposure')} || ' in ' || {_num('(SELECT years FROM period)')} || ' years' "
+     f"|| CASE WHEN annualised_exposure <> 0 THEN ', {_MONEY} ' || {_grouped('annualised_exposure')} || ' in a year' ELSE '' END || '.' ELSE '' END AS explanation, round(z, 2) AS robust_z FROM peer")
+def _(w): return _peer(w)
 
 
-@add("f11_temporal_explanations", "anomaly_id:s start:s months:i",
-     f"SELECT check_id || ':' || entity_id AS anomaly_id, entity_label || ': ' || {LABEL} || ' averaged' AS start, baseline_months AS months FROM temporal")
-def _(w): return _temporal(w).selectExpr("anomaly_id", "regexp_extract(explanation, '^(.* averaged) ', 1) as start", "regexp_extract(explanation, ' in the ([0-9]+) months before', 1) as months")
+@add("f11_temporal_explanations", "anomaly_id:s explanation:s",
+     f"SELECT check_id || ':' || entity_id AS anomaly_id, entity_label || ', ' || {LABEL} || ': ' || {_in_unit('recent', ' %', True)} || ' as the mean of its latest 3 months, ' || {_GAP} || ' the ' || "
+     f"{_in_unit('base_mean', ' %', True)} || ' of the ' || baseline_months || ' before. One month differs from the next by about ' || {_in_unit('spread', ' %', True)} || '; the shift has a z of ' || {_num('z')} "
+     "|| ': ' || severity || '.' AS explanation FROM temporal")
+def _(w): return _temporal(w)
 
 
-@add("f12_stockout_explanations", "product_id:s says_velocity:b says_cover:b says_purchase:s",
-     "SELECT product_id, velocity_per_day IS NOT NULL AS says_velocity, replenishment_ratio IS NOT NULL AS says_cover, coalesce(CAST(days_since_last_purchase AS VARCHAR), '') AS says_purchase FROM inventory_base")
-def _(w): return scoring.score_inventory(w.features()["inventory_base"], CFG).selectExpr(
-    "product_id", "explanation like '%units/day over the last 90 days%' as says_velocity", "explanation like '%nly %% of units sold%' as says_cover",
-    "regexp_extract(explanation, 'ast purchase was ([0-9]+) days', 1) as says_purchase")
+@add("f12_stockout_explanations", "product_id:s explanation:s",
+     f"SELECT product_id, coalesce(nullif(concat_ws(' ', '90 days of sales: ' || {_num('velocity_per_day')} || ' units a day, ahead of ' || {_num('pct_velocity * 100', 0)} || ' % of the products.', "
+     f"'Purchases made up for ' || {_num('replenishment_ratio * 100', 0)} || ' % of what 180 days sold.', 'Bought last ' || days_since_last_purchase || ' days ago.'), ''), 'No movement to judge by.') AS explanation "
+     "FROM inventory_risk")
+def _(w): return scoring.score_inventory(w.features()["inventory_base"], CFG)
 
 
 # ================================================================== scoring
@@ -726,12 +760,14 @@ def _(w): return scoring.flag_products(w.features()["product_base"], w.anomalies
 def _(w): return scoring.flag_products(w.features()["product_base"], w.anomalies(), CFG)
 
 
-@add("g07_product_reasons", "product_id:s reasons:i has_text:b",
-     "SELECT product_id, CAST(anomaly_count > 0 AS INTEGER) + CAST(is_low_margin AS INTEGER) + CAST(is_high_return AS INTEGER) + CAST(is_high_discount AS INTEGER) "
-     "+ CAST(is_declining AS INTEGER) AS reasons, true AS has_text FROM product_flags WHERE is_problematic UNION ALL SELECT product_id, 0, false FROM product_flags WHERE NOT is_problematic")
-def _(w): return scoring.flag_products(w.features()["product_base"], w.anomalies(), CFG).selectExpr(
-    "product_id", "coalesce(size(split(problem_reasons, '; ')), 0) as reasons", "problem_reasons is not null as has_text").selectExpr(
-    "product_id", "greatest(reasons, 0) as reasons", "has_text")
+@add("g07_product_reasons", "product_id:s problem_reasons:s",
+     "SELECT product_id, CASE WHEN is_problematic THEN nullif(concat_ws('; ', CASE WHEN anomaly_count > 0 THEN 'stands out from its peers' END, "
+     f"CASE WHEN is_low_margin THEN 'margin ' || {_num('gross_margin * 100')} || ' %, among the lowest in ' || category END, "
+     f"CASE WHEN is_high_return THEN 'returns ' || {_num('return_rate_units * 100')} || ' %, among the highest of all' END, "
+     f"CASE WHEN is_high_discount THEN 'discounts ' || {_num('discount_rate * 100')} || ' %, among the highest of all' END, "
+     f"CASE WHEN is_declining THEN 'revenue down by ' || {_num('abs(growth_rate) * 100', 0)} || ' %' END), '') END AS problem_reasons "
+     "FROM product_flags")
+def _(w): return scoring.flag_products(w.features()["product_base"], w.anomalies(), CFG)
 
 
 @add("g08_stockout_scores", RISK, "inventory_risk")
@@ -853,6 +889,38 @@ def _(w):
     return gates.warehouse_gates(record, w.account(), w.failures(), w.clean_events(), facts, dims)
 
 
+_LINES = "(SELECT CAST(count(*) AS DOUBLE) FROM {})"
+_DAMAGE = [     # check, observed, expected of tables that were tampered with
+    ("KAFKA_OFFSETS_EQUAL_RAW_MESSAGES", _N("msg"), "(SELECT CAST(count(*) + 5 * count(DISTINCT topic) AS DOUBLE) FROM msg)"),
+    ("RAW_EQUALS_CLEAN_PLUS_REJECTED", _N("msg"), "(SELECT CAST(accepted - 3 + rejected AS DOUBLE) FROM account)"),
+    ("RAW_MESSAGES_EQUAL_KAFKA", _N("msg"), _N("msg")),
+    ("QUARANTINE_HOLDS_EVERY_REJECT", _LINES.format("judged WHERE is_rejected AND kafka_offset % 10 <> 0"), _REJECTED),
+    ("WAREHOUSE_FACTS_EQUAL_ACCEPTED_EVENTS", "(SELECT CAST(count(*) + count(*) FILTER (event_type = 'SALE' AND t_qty = 1) AS DOUBLE) FROM judged WHERE NOT is_rejected)", "(SELECT CAST(accepted - 3 AS DOUBLE) FROM account)"),
+    ("EVENT_IN_ONE_FACT_ONLY", _LINES.format("judged WHERE NOT is_rejected AND event_type = 'SALE' AND t_qty = 1"), "CAST(0 AS DOUBLE)"),
+    ("NO_ORPHAN_FACTS", _LINES.format("judged WHERE NOT is_rejected AND event_type = 'RETURN' AND t_qty > 3"), "CAST(0 AS DOUBLE)"),
+]
+
+
+@add("j01_j11_failing_gates", "run_id:s check_name:s status:s observed:d expected:d message:s raised:b",
+     " UNION ALL ".join(f"SELECT 'tampered' AS run_id, '{n}' AS check_name, CASE WHEN {o} = {e} THEN 'PASS' ELSE 'FAIL' END AS status, {o} AS observed, {e} AS expected, "
+                        f"'observed ' || CAST(CAST({o} AS BIGINT) AS VARCHAR) || ' vs expected ' || CAST(CAST({e} AS BIGINT) AS VARCHAR) AS message, true AS raised" for n, o, e in _DAMAGE))
+def _(w):
+    """Offsets that never arrived, a wrong accounting, rejects lost from the quarantine, sales loaded twice and
+    returns of unknown products: the results are stored, then the run fails."""
+    facts, dims = _clean_tables(w)
+    record = w.messages().groupBy("topic", "kafka_partition").agg(F.expr("count(1) as landed"), F.expr("count(1) + 5 as expected"))
+    sales, returns = facts["fact_sales"], facts["fact_returns"]
+    facts = {**facts, "fact_sales": sales.unionByName(sales.where("quantity = 1")), "fact_returns": returns.withColumn("product_id", F.expr("if(quantity > 3, 'NONE', product_id)"))}
+    checked = gates.warehouse_gates(record, w.account().withColumn("accepted", F.col("accepted") - 3), w.failures().where("kafka_offset % 10 <> 0"), w.clean_events(), facts, dims)
+    history = f"{w.root}/gates-{uuid.uuid4().hex}"
+    try:
+        gates.settle(checked, history, "tampered", datetime(2001, 8, 1))
+        raised = False
+    except RuntimeError:
+        raised = True
+    return gates.gate_history(w.spark, history).where(F.col("check_name").isin([n for n, _, _ in _DAMAGE])).withColumn("raised", F.lit(raised))
+
+
 @add("j12_j15_freshness_gates", "layer:s check_name:s severity:s status:s",
      "SELECT 'warehouse' AS layer, 'FRESH_' || upper(s) || '_RUN' AS check_name, 'INFO' AS severity, CASE WHEN date_diff('day', (SELECT max(o_orderdate) FROM orders), TIMESTAMP '2001-08-01') <= 2 "
      "AND s IN ('ingest', 'clean') THEN 'PASS' ELSE 'WARN' END AS status FROM (VALUES ('ingest'), ('clean'), ('transform'), ('load')) AS t(s)")
@@ -1049,10 +1117,7 @@ def _(w): return serving.other_branches_median(w.features()["branch_monthly"], "
      "SELECT branch_id, category, CASE WHEN replenishment_ratio IS NOT NULL THEN greatest(0.0, least(1.0, (replenishment_ratio - lo) / CASE WHEN hi = lo THEN 1 ELSE hi - lo END)) END AS x "
      "FROM inventory_branch_category CROSS JOIN (SELECT v[CAST(floor(len(v) * 0.05) AS INTEGER) + 1] AS lo, v[CAST(floor(len(v) * 0.95) AS INTEGER) + 1] AS hi FROM "
      "(SELECT list_sort(list(replenishment_ratio) FILTER (replenishment_ratio IS NOT NULL)) AS v FROM inventory_branch_category))")
-def _(w):
-    wide = serving.coverage_matrix(w.features()["inventory_branch_category"])
-    cells = wide.unpivot("branch_id", [c for c in wide.columns if c != "branch_id"], "category", "x")
-    return w.features()["inventory_branch_category"].select("branch_id", "category").join(cells, ["branch_id", "category"], "left")
+def _(w): return serving.coverage_matrix(w.features()["inventory_branch_category"]).selectExpr("branch_id", "explode(cells) as (category, x)")
 
 
 @add("i21_overall_coverage", "coverage:d", "SELECT CAST(sum(units_purchased) AS DOUBLE) / CAST(sum(units_sold) AS DOUBLE) AS coverage FROM inventory_movement_monthly")
@@ -1143,10 +1208,16 @@ def _(w):
 
 @add("k03_streaming_first_copies", "event_id:s", "SELECT DISTINCT event_id FROM ranked WHERE cand")
 def _(w):
+    # Accepted events arrive in the order of their time, in several micro-batches; the state of a week is kept.
     base = _validated(w)
     out = f"{base}/first-{uuid.uuid4().hex}"
-    stream = w.spark.readStream.schema(w.staged["k2"].schema).parquet(f"{base}/accepted")
-    query = (landing.first_copies(stream, "20 years").writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start())
-    query.awaitTermination()
-    return w.spark.read.schema(w.staged["k2"].schema).parquet(out)
+    accepted = w.staged["k2"]
+    seconds = F.expr("unix_timestamp(cast(kafka_timestamp as timestamp))")
+    cuts = accepted.agg(F.percentile_approx(seconds, [i / 6 for i in range(1, 6)], 1000)).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = accepted if low is None else accepted.where(seconds > low)
+        (part if high is None else part.where(seconds <= high)).write.mode("append").parquet(f"{out}-ordered")
+        query = (landing.first_copies(w.spark.readStream.schema(accepted.schema).parquet(f"{out}-ordered"), "7 days").writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start())
+        query.awaitTermination()
+    return w.spark.read.schema(accepted.schema).parquet(out)

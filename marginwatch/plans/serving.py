@@ -134,16 +134,14 @@ def inventory_flags(inventory: DataFrame) -> DataFrame:
 
 
 def coverage_matrix(branch_category: DataFrame, categories: list[str] | None = None) -> DataFrame:
-    """Branch rows, category columns: coverage scaled 0..1 between the 5th and 95th index
-    percentile of all cells and clipped. Names the columns, so categories may be given to
-    save the pass that finds them."""
+    """branch_id and `cells`, a map of category to coverage, which is scaled 0..1 between the 5th and 95th index
+    percentile of all cells and clipped. One aggregation, whatever the categories are: nothing looks for them
+    first. With `categories` the map's entries are columns of these names instead."""
     cuts = quantiles(branch_category, "replenishment_ratio", {"lo": 0.05, "hi": 0.95}, kind="index")
-    lo, hi = cuts.select("lo").scalar(), cuts.select("hi").scalar()
-    cells = branch_category.select("branch_id", "category", "replenishment_ratio").withColumn("lo", lo).withColumn("hi", hi)
-    span = F.when(F.col("hi") == F.col("lo"), F.lit(1.0)).otherwise(F.col("hi") - F.col("lo"))
-    x = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("replenishment_ratio") - F.col("lo")) / span))
-    scaled = F.when(F.col("replenishment_ratio").isNotNull(), x)
-    return cells.withColumn("x", scaled).groupBy("branch_id").pivot("category", categories).agg(F.max("x"))
+    rows = branch_category.select("branch_id", "category", "replenishment_ratio").withColumns({c: cuts.select(c).scalar() for c in ("lo", "hi")})
+    scaled = "least(1D, greatest(0D, (replenishment_ratio - lo) / if(hi = lo, 1D, hi - lo)))"
+    cells = rows.groupBy("branch_id").agg(F.expr(f"map_from_entries(collect_list(struct(category, case when replenishment_ratio is not null then {scaled} end)))").alias("cells"))
+    return cells if categories is None else cells.select("branch_id", *[F.col("cells")[c].alias(c) for c in categories])
 
 
 def overall_coverage(movement_monthly: DataFrame) -> DataFrame:
