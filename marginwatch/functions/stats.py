@@ -50,8 +50,8 @@ ACCURACY, STEPS = 10_000, (2, 8)
 
 
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), kind: str = "linear") -> DataFrame:
-    """One row per group: n and one column per name in `probs`. `linear` interpolates at p*(n-1); `index`
-    takes the element floor(p*n). `by` columns must not be null.
+    """One row per group: n and one column per name in `probs`. `linear` interpolates at p*(n-1), `index`
+    takes the element floor(p*n), `first` the first one that p*n rows do not exceed. `by` columns must not be null.
 
     The first aggregation takes approximate cuts around every wanted share, whose error is bounded, the second
     counts what lies outside the cuts that must hold the wanted ranks and the distinct values inside. Those are
@@ -63,7 +63,9 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[s
                                                f"percentile_approx(_v, array({', '.join(f'{m!r}D' for m in marks)}), {ACCURACY}) as _cuts"]))
 
     def ends(p: float) -> tuple[str, str]:
-        return (f"floor({p!r}D * (n - 1))", f"ceil({p!r}D * (n - 1))") if kind == "linear" else (f"least(floor({p!r}D * n), n - 1)",) * 2
+        if kind == "linear":
+            return f"floor({p!r}D * (n - 1))", f"ceil({p!r}D * (n - 1))"
+        return (f"least(floor({p!r}D * n), n - 1)" if kind == "index" else f"greatest(ceil({p!r}D * n) - 1, 0)",) * 2
 
     bounds = []     # of each wanted share, two values that its ranks lie between for certain
     for p in probs.values():
