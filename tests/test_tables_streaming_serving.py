@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,7 +134,42 @@ def test_stream_validation_and_first_copies(spark, tmp_path):
     assert spark.table("firsts").count() == 24
 
 
+def test_state_of_first_copies_expires(spark, tmp_path):
+    """Events in the order of their time: a copy within the week is dropped, and ids older than it leave the state."""
+    schema = "event_id string, kafka_timestamp timestamp_ntz"
+    removed = []
+    for day in (0, 3, 20, 40):
+        rows = [(f"E{day}-{k}", NOW + timedelta(days=day)) for k in range(5)] + [("E0-0", NOW + timedelta(days=day))] * (day == 3)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        q = (landing.first_copies(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), "7 days").writeStream.format("parquet")
+             .option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start())
+        q.awaitTermination()
+        removed.append(sum(o["numRowsRemoved"] for p in q.recentProgress for o in p["stateOperators"]))
+    out = [r.event_id for r in spark.read.schema(schema).parquet(f"{tmp_path}/out").collect()]
+    assert len(out) == 20 and out.count("E0-0") == 1
+    assert removed[0] == removed[1] == 0 and sum(removed) >= 10
+
+
 # ------------------------------------------------------------------ gates and serving
+def test_gates_are_stored_before_they_are_enforced(spark, tmp_path):
+    frame = lambda *rows: spark.createDataFrame([("w", n, "CRITICAL", s, o, 0.0, f"observed {o}") for n, s, o in rows], "layer string, check_name string, severity string, status string, observed double, expected double, message string")
+    history = f"{tmp_path}/history"
+    gates.settle(frame(("A", "PASS", 0.0)), history, "r1", NOW)
+    with pytest.raises(RuntimeError, match="B"):
+        gates.settle(frame(("A", "PASS", 0.0), ("B", "FAIL", 3.0)), history, "r2", NOW)
+    gates.settle(frame(("B", "PASS", 0.0)), history, "r3", NOW)  # an earlier run's failure does not stop a later one
+    stored = gates.gate_history(spark, history).collect()
+    assert sorted((r.run_id, r.check_name, r.status) for r in stored) == [("r1", "A", "PASS"), ("r2", "A", "PASS"), ("r2", "B", "FAIL"), ("r3", "B", "PASS")]
+
+
+def test_coverage_matrix_is_one_aggregation(spark):
+    df = spark.createDataFrame([("B1", "x", 0.0), ("B1", "y", 10.0), ("B2", "x", 5.0), ("B2", "y", None)], "branch_id string, category string, replenishment_ratio double")
+    cells = {r.branch_id: r.cells for r in serving.coverage_matrix(df).collect()}
+    assert cells == {"B1": {"x": 0.0, "y": 1.0}, "B2": {"x": 0.5, "y": None}}
+    assert serving.coverage_matrix(df, ["y", "z"]).columns == ["branch_id", "y", "z"]
+    assert "Pivot" not in serving.coverage_matrix(df)._jdf.queryExecution().analyzed().toString()
+
+
 def test_enforce_raises_only_on_critical(spark):
     rows = [("w", "A", "CRITICAL", "PASS", ""), ("w", "B", "WARNING", "WARN", "")]
     df = spark.createDataFrame(rows, "layer string, check_name string, severity string, status string, message string")
