@@ -6,7 +6,10 @@ sketch is cut into parts; if two sets of n and at most n / threshold shingles li
 d(n) shingles, which touch at most d(n) parts. A document therefore hands out the first d(n) + 1 of its
 parts that are not empty as join keys: of the parts up to there, the empty ones and the d(n) touched ones
 cannot be all, so a linked pair shares a key. Parts are very wide and held as the XOR of one random word
-per set bit. A short folded sketch prunes candidates before the sets themselves are compared.
+per set bit. Which parts come first may be chosen, as long as all documents agree: those that no other
+document has come first and the most frequent ones last, so a passage that many documents share is a key
+only of those that have too little besides. A folded sketch prunes candidates, then one as wide as the set
+is large, before the few sets that are left are compared.
 
 Only documents that share a key are candidates, and not all pairs of those are made. In a few rounds every
 document meets one representative of each of its keys, so that most of a large group becomes one component.
@@ -17,7 +20,6 @@ from __future__ import annotations
 
 import functools
 import math
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,8 @@ from .components import connected_components
 
 #: Ratio between the largest and the smallest size of a band.
 BAND = 1.6
-#: 64-bit words of the folded sketch, and of the sketch folded further, which candidates are first compared by.
-SKETCH_WORDS, FIRST_WORDS = 16, 4
+#: 64-bit words of the folded sketch, which candidates are first compared by.
+SKETCH_WORDS = 16
 #: Rounds in which documents meet representatives, at most; a round that finds no link is the last.
 ROUNDS = 4
 #: Words whose hashes one Python worker keeps.
@@ -105,7 +107,12 @@ class Bands:
         return least + least // 10
 
     def keys(self, h: np.ndarray) -> np.ndarray:
-        out = []
+        return self.elements(h)[0]
+
+    def elements(self, h: np.ndarray) -> tuple[np.ndarray, list[int], int]:
+        """The keys of the parts that are not empty, and of the empty ones where those are too few, band after
+        band; for each band the number of the former and of all; how many of them a linked set must meet."""
+        out, sizes = [], []
         for g in self.of(len(h)):
             parts, need = self.parts(g), self.difference(len(h)) + 1
             part = ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
@@ -113,12 +120,12 @@ class Bands:
             part = part[order]
             first = np.flatnonzero(np.diff(part, prepend=-1))
             code, at = np.bitwise_xor.reduceat(_mix(h[order], 1), first), part[first]
-            if len(at) >= need:
-                code, at = code[:need], at[:need]
-            else:  # too few parts with shingles: the empty ones are keys as well
+            sizes.append(len(at))
+            if len(at) < need:  # too few parts with shingles: the empty ones are keys as well
                 code, at = np.concatenate([code, np.zeros(parts - len(at), np.uint64)]), np.concatenate([at, np.setdiff1d(np.arange(parts), at)])
+            sizes.append(len(at))
             out.append(_mix(code ^ _mix(np.uint64(g << 32) + at.astype(np.uint64), 2), 3))
-        return np.concatenate(out).view(np.int64)
+        return np.concatenate(out).view(np.int64), sizes, self.difference(len(h)) + 1
 
 
 def folded(h: np.ndarray) -> np.ndarray:
@@ -127,9 +134,27 @@ def folded(h: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(at, minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(h: np.ndarray) -> bytes | None:
+    """The sketch at two bits or more a shingle; None where the folded one has as many. A wider sketch folds
+    to a narrower one by the XOR of its halves."""
+    bits = 1 << (2 * len(h) - 1).bit_length()
+    if bits <= 64 * SKETCH_WORDS:
+        return None
+    at = (_mix(h, 4) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def wide_distance(x: bytes, y: bytes) -> int:
+    """The Hamming distance of two wide sketches, at the width of the narrower."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def sketch_documents(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Of (doc_id, text): doc_id, n_shingles, two checksums of the set, folded sketch, keys."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("check_a", pa.int64()), ("check_b", pa.int64()), ("sketch", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
+    """Of (doc_id, text): doc_id, n_shingles, two checksums of the set, folded and wide sketch, elements."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("check_a", pa.int64()), ("check_b", pa.int64()), ("sketch", pa.list_(pa.int64())), ("wide", pa.binary()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("need", pa.int32())])
 
     def run(batches):
         bands = Bands(num, den)
@@ -138,12 +163,12 @@ def sketch_documents(docs: DataFrame, width: int, num: int, den: int) -> DataFra
             for t in batch.column("text").to_pylist():
                 h = shingles(t or b"", width)
                 if len(h):
-                    out.append((len(h), int(np.bitwise_xor.reduce(h).view(np.int64)), int(_mix(h, 5).sum(dtype=np.uint64).view(np.int64)), folded(h), bands.keys(h)))
+                    out.append((len(h), int(np.bitwise_xor.reduce(h).view(np.int64)), int(_mix(h, 5).sum(dtype=np.uint64).view(np.int64)), folded(h), wide_sketch(h), *bands.elements(h)))
                 else:
-                    out.append((0, 0, 0, [], []))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, f.type) for x, f in zip(zip(*out) if out else [[]] * 5, list(schema)[1:])]], schema=schema)
+                    out.append((0, 0, 0, [], None, [], [], 0))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, f.type) for x, f in zip(zip(*out) if out else [[]] * 8, list(schema)[1:])]], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, check_a long, check_b long, sketch array<long>, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, check_a long, check_b long, sketch array<long>, wide binary, keys array<long>, sizes array<int>, need int")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -188,9 +213,23 @@ def _sides(vertices: DataFrame, sketch: str) -> dict[str, DataFrame]:
     return {x: vertices.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col(sketch).alias(f"s_{x}")) for x in "ab"}
 
 
-def _near(pairs: DataFrame, vertices: DataFrame, sketch: str, words: int, num: int, den: int) -> DataFrame:
-    side = _sides(vertices, sketch)
-    return pairs.join(side["a"], "a").join(side["b"], "b").where(_close(num, den, words)).select("a", "b")
+def _near(pairs: DataFrame, vertices: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sizes and sketches, the folded and then the wide ones, allow a link."""
+    pairs = staged(pairs, "parity-pairs")
+    for sketch in ("s", "wide"):
+        ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "parity-ids")
+        side = _sides(staged(mark_among(vertices.select("doc_id", "n", sketch), ids, ["doc_id"]).where("among").drop("among"), "parity-sides"), sketch)
+        both = pairs.join(side["a"], "a").join(side["b"], "b")
+        if sketch == "s":
+            pairs = staged(both.where(_close(num, den, SKETCH_WORDS)).select("a", "b").distinct(), "parity-pairs")
+
+    def run(batches):
+        for batch in batches:
+            keep = [x is None or y is None or wide_distance(x, y) * (den + num) <= (den - num) * n
+                    for x, y, n in zip(batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist(), batch.column("n").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "s_a", "s_b", F.expr("n_a + n_b").alias("n")).mapInArrow(run, "a long, b long").distinct()
 
 
 def _links(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -215,20 +254,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeats = staged(filled.groupBy(same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1").drop("n_rows"), "parity-repeats")
     vertices = filled.join(repeats, same, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     copies = vertices.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    first = [reduce(lambda x, y: x.bitwiseXOR(y), [F.col("sketch")[k] for k in range(w, SKETCH_WORDS, FIRST_WORDS)]) for w in range(FIRST_WORDS)]
-    single = staged(vertices.where("doc_id = rep").select("doc_id", F.col("n_shingles").alias("n"), F.col("sketch").alias("s"), F.array(*first).alias("q"), "keys"), "parity-vertices")
-
-    # Keys that two vertices share, found by aggregates that combine map-side; other keys go no further.
-    spread = single.select("doc_id", F.explode("keys").alias("key"))
-    shared = staged(spread.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key"), "parity-keys")
-    mates = staged(mark_among(spread, shared, ["key"]).where("among").drop("among").join(shared, "key"), "parity-mates")
+    single = staged(vertices.where("doc_id = rep").select("doc_id", F.col("check_b").alias("row"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"), "wide", "keys", "sizes", "need"), "parity-vertices")
+
+    # Keys that two vertices share, found by aggregates that combine map-side; other keys go no further. A
+    # vertex needs as many keys as a linked one must meet; those of its own come first, then the rarest.
+    spread = single.select("doc_id", "row", "sizes", "need", F.posexplode("keys").alias("pos", "key"))
+    shared = staged(spread.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n_rows")).where("lo < hi").select("key", "n_rows"), "parity-keys")
+    band = "if(pos < sizes[1], struct(0 as band, sizes[0] as filled, pos >= sizes[0] as empty), struct(1 as band, sizes[2] as filled, pos - sizes[1] >= sizes[2] as empty))"
+    met = mark_among(spread, shared, ["key"]).where("among").drop("among").withColumn("at", F.expr(band)).join(shared, "key")
+    ranked = met.groupBy("doc_id", "row", "need", "at.band", "at.filled").agg(
+        F.sort_array(F.collect_set(F.expr("if(not at.empty, struct(n_rows, key), null)"))).alias("own"), F.collect_set(F.expr("if(at.empty, key, null)")).alias("empty"))
+    mates = staged(ranked.select("doc_id", F.explode(F.expr("concat(slice(own.key, 1, greatest(0, need - filled + size(own))), empty)")).alias("key")).distinct(), "parity-mates")
 
     links, open_ = copies, mates.withColumn("component", F.col("doc_id"))
     for k in range(ROUNDS):
         order = F.col("doc_id") if k == 0 else F.xxhash64("doc_id", F.lit(k))
         heads = open_.groupBy("key").agg(F.min(F.struct(order.alias("order"), F.col("doc_id").alias("rep"), F.col("component").alias("rep_component"))).alias("h")).select("key", "h.rep", "h.rep_component")
         stars = open_.join(heads, "key").where("component <> rep_component").select(F.least("rep", "doc_id").alias("a"), F.greatest("rep", "doc_id").alias("b")).distinct()
-        found = _links(_near(_near(stars, single, "q", FIRST_WORDS, num, den), single, "s", SKETCH_WORDS, num, den), rows, width, num, den)
+        found = _links(_near(stars, single, num, den), rows, width, num, den)
         links = links.union(found)
         known = staged(connected_components(links), "parity-known")
         now = mates.join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
@@ -237,10 +280,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         mates = open_.select("key", "doc_id")
         if found.isEmpty():
             break
-    open_ = staged(open_.join(single.select("doc_id", "n", "q"), "doc_id"), "parity-open")
-    x, y = (open_.select(F.col("key").alias(f"key_{z}"), F.col("doc_id").alias(z), F.col("component").alias(f"c_{z}"), F.col("n").alias(f"n_{z}"), F.col("q").alias(f"s_{z}")) for z in "ab")
-    rest = x.join(y, F.expr(f"key_a = key_b and c_a < c_b and {_close(num, den, FIRST_WORDS)}")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = links.union(_links(_near(staged(rest, "parity-rest"), single, "s", SKETCH_WORDS, num, den), rows, width, num, den))
+    open_ = staged(open_.join(single.select("doc_id", "n", "s"), "doc_id"), "parity-open")
+    x, y = (open_.select(F.col("key").alias(f"key_{z}"), F.col("doc_id").alias(z), F.col("component").alias(f"c_{z}"), F.col("n").alias(f"n_{z}"), F.col("s").alias(f"s_{z}")) for z in "ab")
+    rest = x.join(y, F.expr(f"key_a = key_b and c_a < c_b and {_close(num, den, SKETCH_WORDS)}")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = links.union(_links(_near(rest, single, num, den), rows, width, num, den))
 
     components = staged(connected_components(links), "parity-components")
     return sketches.select("doc_id", "n_shingles").join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from marginwatch.llm.components import connected_components
-from marginwatch.llm.parity_join import Bands, folded, jaccard_components, shingles
+from marginwatch.llm.parity_join import Bands, folded, jaccard_components, shingles, wide_distance, wide_sketch
 
 
 def brute(rows, width, num, den):
@@ -80,3 +80,45 @@ def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (3, 2)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 140), 100)}
+
+
+def test_linked_sets_share_one_of_the_keys_they_need_in_any_common_order():
+    """Whatever the frequencies of keys, a linked pair meets in the rarest ones that each needs."""
+    rng = np.random.default_rng(11)
+    bands = Bands(80, 100)
+    for n in [3, 12, 40, 111, 500, 3000]:
+        for salt in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            most = bands.difference(len(a)) // 2
+            b = np.unique(np.concatenate([a[rng.integers(0, most + 1):], rng.integers(0, 1 << 63, rng.integers(0, most + 1), dtype=np.uint64)]))
+            common = len(np.intersect1d(a, b))
+            if common * 100 < (len(a) + len(b) - common) * 80:
+                continue
+            kept = []
+            for h in (a, b):
+                keys, sizes, need = bands.elements(h)
+                out, start = set(), 0
+                for k in range(0, len(sizes), 2):
+                    end = sizes[1] if k == 0 else len(keys)
+                    filled = keys[start:start + sizes[k]].tolist()
+                    out |= set(sorted(filled, key=lambda x: hash((x, salt)))[:need]) | set(keys[start + sizes[k]:end].tolist())
+                    start = end
+                kept.append(out)
+            assert kept[0] & kept[1], (n, salt)
+            x, y = wide_sketch(a), wide_sketch(b)
+            assert x is None or y is None or wide_distance(x, y) <= len(a) + len(b) - 2 * common
+
+
+def test_documents_around_one_long_passage(spark):
+    """A passage in all texts, with as much besides: no two link, but for the near copies of some."""
+    random.seed(5)
+    passage = [f"p{k}" for k in range(700)]
+    rows = []
+    for i in range(60):
+        own = [f"d{i}x{random.randrange(10**6)}" for _ in range(random.choice([60, 200, 800]))]
+        rows.append((i, " ".join(own + passage)))
+        if i % 5 == 0:
+            rows.append((100 + i, " ".join(own + passage[:-5] + ["end"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect())
+    assert got == sorted(brute(rows, 5, 80, 100))
