@@ -40,11 +40,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 FILTER_BITS = 25
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """name, or as many underscores before it as make it none of columns (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def mark_among(rows: DataFrame, keys: DataFrame, columns: list[str], name: str = "among") -> DataFrame:
-    """rows with a boolean: whether these columns' values may be among those of keys. A bitmap of fixed
-    size decides, so that rows are not shuffled; it may say yes wrongly, never no."""
+    """rows with a boolean, called name: whether these columns' values may be among those of keys. A bitmap
+    of fixed size decides, so that rows are not shuffled; it may say yes wrongly, never no. name must not be a
+    column of rows (unused gives one); the helper columns take names that rows does not have."""
+    if name.lower() in {c.lower() for c in rows.columns}:
+        raise ValueError(f"{name} is a column of these rows")
+    bucket, bitmap, at = (unused(c, rows.columns) for c in ("_bucket", "_bits", "_at"))
     slot = F.pmod(F.xxhash64(*columns), F.lit(1 << FILTER_BITS)) + 1
-    bits = keys.select(slot.alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
-    met = rows.withColumn("_bucket", F.bitmap_bucket_number(slot)).withColumn("_at", F.bitmap_bit_position(slot)).join(F.broadcast(bits), "_bucket", "left")
-    byte = F.conv(F.hex(F.expr("substring(_bits, int(_at div 8) + 1, 1)")), 16, 10).cast("int")
-    return met.withColumn(name, F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_bits", "_at")
+    bits = keys.select(slot.alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias(bitmap))
+    met = rows.withColumns({bucket: F.bitmap_bucket_number(slot), at: F.bitmap_bit_position(slot)}).join(F.broadcast(bits), bucket, "left")
+    byte = F.conv(F.hex(F.expr(f"substring({bitmap}, int({at} div 8) + 1, 1)")), 16, 10).cast("int")
+    return met.withColumn(name, F.coalesce(F.getbit(byte, (F.col(at) % 8).cast("int")) == 1, F.lit(False))).drop(bucket, bitmap, at)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mark_among, staged
+from .common import mark_among, staged, unused
 from .components import connected_components
 
 EDITS = 2
@@ -135,18 +135,19 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stays. Rows that repeat both id and text are one document and keep the same lines. An empty table
     gives no row. Other columns are kept; result columns of these three names replace the input's.
     """
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "dropped", "row_key")]
-    keyed = docs.select(*keep).withColumn("row_key", F.xxhash64(F.col(id_col).cast("string"), text_col))
-    narrow = keyed.select("row_key", F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    keep = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "dropped")]
+    row_key, among = unused("row_key", docs.columns), unused("among", docs.columns)
+    keyed = docs.select(*keep).withColumn(row_key, F.xxhash64(F.col(id_col).cast("string"), text_col))
+    narrow = keyed.select(F.col(row_key).alias("row_key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     near = near_lines(narrow, edits, min_chars)
     places = mark_among(_lines(narrow, min_chars).select("row_key", "doc_id", "pos", _hash().alias("line_key")), near, ["line_key"]).where("among").drop("among")
     gone = places.join(near, "line_key").where(~F.struct("doc_id", "row_key", "pos").eqNullSafe(F.col("first")))
-    gone = staged(gone.groupBy("row_key").agg(F.array_sort(F.collect_set("pos")).alias("dropped")), "line-dropped")
+    gone = staged(gone.groupBy("row_key").agg(F.array_sort(F.collect_set("pos")).alias("dropped")), "line-dropped").withColumnRenamed("row_key", row_key)
 
-    marked = mark_among(keyed, gone, ["row_key"])
+    marked = mark_among(keyed, gone, [row_key], among)
     none = F.array().cast("array<int>")
-    whole = marked.where("not among").withColumn("dropped", none)
-    cut = marked.where("among").join(gone, "row_key", "left").withColumn("dropped", F.coalesce("dropped", none))
+    whole = marked.where(f"not {among}").withColumn("dropped", none)
+    cut = marked.where(among).join(gone, row_key, "left").withColumn("dropped", F.coalesce("dropped", none))
     cut = cut.withColumn(text_col, F.when(F.size("dropped") == 0, F.col(text_col)).otherwise(F.expr(f"array_join(filter(split(`{text_col}`, '\\n'), (l, i) -> not array_contains(dropped, i)), '\\n')")))
     counted = F.coalesce(F.expr(f"cast(size(split(`{text_col}`, '\\n')) as long)"), F.lit(0))
     n_dropped = F.size("dropped").cast("long")

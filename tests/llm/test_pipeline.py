@@ -23,3 +23,18 @@ def test_stages_of_odd_rows(spark):
     assert P.near_duplicates(spark, docs, SF).count() == 5
     assert P.packing(spark, P.mixing(spark, P.quality(spark, docs, SF), SF), SF).count() >= 0
     assert P.mixing(spark, docs.limit(0), SF).count() == P.near_duplicates(spark, docs.limit(0), SF).count() == 0
+
+
+def test_clashing_columns_keep_their_values(spark):
+    names = ["row_key", "among", "_bucket", "_bits", "_at", "n_dropped", "accepted", "topic", "component_id"]
+    text = "a line of twenty characters\nand another that is long enough\n"
+    rows = [(i, text * (i % 2) + f"words of document number {i} alone", "en", "s", 9, *[f"{n}{i}" for n in names]) for i in range(12)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *names])
+    labels_of = P.quality(spark, docs, SF)
+    for got in (labels_of, P.lines(spark, docs, SF), P.near_duplicates(spark, docs, SF), P.mixing(spark, docs, SF)):
+        assert got.dtypes == docs.dtypes
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got.collect() for n in names)
+    # The last lines differ in a digit or two, so the first one stays; texts that lose all of theirs go.
+    assert P.lines(spark, docs, SF).count() == 2
+    kept = P.line_dedup(docs).collect()
+    assert len(kept) == 12 and all(r[n] == f"{n}{r.doc_id}" for r in kept for n in names if n != "n_dropped") and {r.n_dropped for r in kept} == {0, 1, 3}
