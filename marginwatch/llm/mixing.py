@@ -9,6 +9,9 @@ at most 1; a hash of the document decides.
 """
 from __future__ import annotations
 
+import functools
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,10 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from .common import staged
-from .quality import features
 
 #: Bins that words fold into, rounds of k-means at most.
 TOPIC_BINS, ROUNDS = 4_096, 12
+#: Documents that are multiplied together, words whose bins a worker keeps, groups that tasks are summed in first.
+BLOCK, CACHE_WORDS, LANES = 512, 250_000, 1_024
 #: Exponent that flattens a marginal's own shares where no target is given.
 FLATTEN = 0.7
 #: Raking ends when no marginal is off by more than this, relatively, or after so many sweeps.
@@ -29,77 +33,118 @@ TOLERANCE, SWEEPS = 1e-6, 200
 MAX_CELLS = 1_000_000
 
 
-def _documents(batch: pa.RecordBatch, scale: np.ndarray):
-    """(bins, their numbers scaled, to unit length) of each document with a word that scale does not hide."""
-    bins = batch.column("bins")
-    flat, ends = bins.flatten().to_numpy(), np.cumsum([0, *pc.list_value_length(bins).to_pylist()])
-    for k in range(len(bins)):
-        at, n = np.unique(flat[ends[k]:ends[k + 1]], return_counts=True)
+class _Bins(dict):
+    """The bin of each word, of as many words as one Python worker keeps."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = k = zlib.crc32(word) % TOPIC_BINS
+        return k
+
+
+@functools.lru_cache(maxsize=1)
+def _bins() -> _Bins:
+    return _Bins()
+
+
+def word_bins(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct bins of a text's words, in order, and how many distinct words fold into each."""
+    distinct = set(words)
+    n = np.bincount(np.fromiter(map(_bins().__getitem__, distinct), np.int64, len(distinct)), minlength=1)
+    at = np.flatnonzero(n)
+    return at.astype(np.int32), n[at].astype(np.int32)
+
+
+def _blocks(batch: pa.RecordBatch, scale: np.ndarray):
+    """(places in the batch, rows of unit length by bin, lengths before) of its documents, BLOCK at a time:
+    numbers of words times scale. A document whose words scale hides is left out."""
+    for start in range(0, len(batch), BLOCK):
+        part = batch.slice(start, BLOCK)
+        size = pc.list_value_length(part.column("bins")).to_numpy(zero_copy_only=False).astype(np.int64)
+        at, n = (part.column(c).flatten().to_numpy() for c in ("bins", "times"))
         value = n * scale[at]
-        norm = np.linalg.norm(value)
-        if norm > 1e-9:
-            yield k, at, value / norm
+        row = np.repeat(np.arange(len(size)), size)
+        norm = np.sqrt(np.bincount(row, value * value, len(size)))
+        x = np.zeros((len(size), TOPIC_BINS))
+        x[row, at] = value / np.where(norm > 1e-9, norm, 1)[row]
+        seen = np.flatnonzero(norm > 1e-9)
+        yield start + seen, x if len(seen) == len(x) else x[seen], norm[seen]
 
 
 def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
-    """Sums by part of the doubles in rows (part, sums), a row a task and part; the order of addition is fixed."""
-    def add(key, table):
+    """Sums by part of the doubles in rows (part, sums), a row a task and part, in two steps, so that no group
+    grows with all tasks: those of a lane first, then the lanes. The order of addition is fixed by the values."""
+    def add(_, table):
         rows = sorted(v.as_py() for v in table.column("sums"))
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([sum(np.frombuffer(r, "<f8") for r in rows).tobytes()], pa.binary())})
+        return pa.table({"part": table.column("part").slice(0, 1), "sums": pa.array([sum(np.frombuffer(r, "<f8") for r in rows).tobytes()], pa.binary())})
 
-    return {r.part: np.frombuffer(r.sums, "<f8") for r in parts.groupBy("part").applyInArrow(add, "part int, sums binary").collect()}
+    laned = parts.withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(LANES)))
+    lanes = laned.groupBy("part", "lane").applyInArrow(add, "part int, sums binary")
+    return {r.part: np.frombuffer(r.sums, "<f8") for r in lanes.groupBy("part").applyInArrow(add, "part int, sums binary").collect()}
 
 
 def _parts(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.astype("<f8").tobytes() for v in sums.values()], pa.binary())], ["part", "sums"])
 
 
+def _farthest(vectors: DataFrame, rarity: np.ndarray, c: np.ndarray) -> np.ndarray | None:
+    """The document least like all centres, of equals the one of most, and rarest, words, then of the smallest
+    key; none if all are like a centre."""
+    sent = vectors.sparkSession.sparkContext.broadcast(c)
+
+    def run(batches):
+        best = None
+        for batch in batches:
+            keys = batch.column("row_key").to_numpy()
+            for at, x, norm in _blocks(batch, rarity):
+                if len(at):
+                    near, less = np.round((x @ sent.value.T).max(axis=1, initial=-1.0), 9), np.round(-norm, 9)  # sums differ in their last bits by block
+                    k = np.lexsort((keys[at], less, near))[0]
+                    new = float(near[k]), float(less[k]), int(keys[at[k]])
+                    if best is None or new < best[:3]:
+                        best = *new, x[k].tobytes()
+        if best:
+            yield pa.RecordBatch.from_arrays([pa.array([b]) for b in best], ["near", "less", "row_key", "value"])
+
+    new = vectors.mapInArrow(run, "near double, less double, row_key long, value binary").agg(F.min(F.struct("near", "less", "row_key", "value")).alias("m")).first().m
+    return None if new is None or len(c) and new.near > 1 - 1e-8 else np.frombuffer(new.value, "<f8")
+
+
 def fit_topics(vectors: DataFrame, n_topics: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Centres by bin, to be summed over a document's bins, words weighted by rarity, of all of (row_key, bins);
-    started from the documents farthest from each other. Equal documents count as often as they are there."""
+    """Centres by bin, to be summed over a document's words, words weighted by rarity, of all of (row_key, bins,
+    times); started from the documents farthest from each other, the largest topic first. Equal documents count as often
+    as they are there."""
     def frequencies(batches):
         total = np.zeros(TOPIC_BINS + 1)
         for batch in batches:
             total[TOPIC_BINS] += len(batch)
-            for _, at, _ in _documents(batch, np.ones(TOPIC_BINS)):
-                total[at] += 1
+            total[:TOPIC_BINS] += np.bincount(batch.column("bins").flatten().to_numpy(), minlength=TOPIC_BINS)
         yield _parts({0: total})
 
     found = _summed(vectors.select("bins").mapInArrow(frequencies, "part int, sums binary")).get(0, np.zeros(TOPIC_BINS + 1))
     rarity = np.log((1 + found[TOPIC_BINS]) / (1 + found[:TOPIC_BINS]))
     c, context = np.zeros((0, TOPIC_BINS)), vectors.sparkSession.sparkContext
-    while len(c) < n_topics:
-        sent = context.broadcast(c)
-
-        def farthest(batches):
-            best = None
-            for batch in batches:
-                keys = batch.column("row_key")
-                for k, at, value in _documents(batch, rarity):
-                    near = float((sent.value[:, at] @ value).max(initial=-1.0))
-                    if best is None or (near, keys[k].as_py()) < best[:2]:
-                        best = near, keys[k].as_py(), at.tolist(), value.tolist()
-            if best:
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(best, (pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())))], ["near", "row_key", "at", "value"])
-
-        new = vectors.mapInArrow(farthest, "near double, row_key long, at array<long>, value array<double>").agg(F.min(F.struct("near", "row_key", "at", "value")).alias("m")).first().m
-        if new is None or len(c) and new.near > 1 - 1e-9:  # fewer different documents than topics
-            break
-        c = np.vstack([c, np.zeros(TOPIC_BINS)])
-        c[-1, new["at"]] = new["value"]
-    for _ in range(rounds if len(c) else 0):
-        sent, before = context.broadcast(c), c.copy()
+    while len(c) < n_topics and (new := _farthest(vectors, rarity, c)) is not None:
+        c = np.vstack([c, new])
+    for k in range(rounds if len(c) else 0):
+        sent, before, pulls = context.broadcast(c), c.copy(), k > 0
 
         def by_centre(batches):
-            sums: dict[int, np.ndarray] = {}
+            sums = np.zeros((len(sent.value), TOPIC_BINS + 1))
             for batch in batches:
-                for _, at, value in _documents(batch, rarity):
-                    k = int((sent.value[:, at] @ value).argmax())
-                    sums.setdefault(k, np.zeros(TOPIC_BINS))[at] += value
-            yield _parts(sums)
-
-        for k, total in _summed(vectors.select("bins").mapInArrow(by_centre, "part int, sums binary")).items():
-            c[k] = total / np.linalg.norm(total)
+                for _, x, _ in _blocks(batch, rarity):
+                    like = x @ sent.value.T
+                    mine = ((like.argmax(axis=1)[:, None] == np.arange(len(sums))) & (pulls | (like > 1e-9))).T.astype(float)
+                    sums[:, :-1] += mine @ x
+                    sums[:, -1] += mine.sum(axis=1)
+            yield _parts({int(t): sums[t] for t in np.flatnonzero(sums[:, -1])})
+
+        # The largest topic comes first: documents that share no word with any centre go there once that is known.
+        found, size = _summed(vectors.select("bins", "times").mapInArrow(by_centre, "part int, sums binary")), np.zeros(len(c))
+        for t, total in found.items():
+            c[t], size[t] = total[:-1] / np.linalg.norm(total[:-1]), total[-1]
+        c = c[np.argsort(-size, kind="stable")]
         if np.abs(c - before).max() < 1e-6:
             break
     return np.vstack([c, np.zeros((n_topics - len(c), TOPIC_BINS))]) * rarity
@@ -111,16 +156,20 @@ def with_topics(docs: DataFrame, text_col: str, n_topics: int) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(text_col).to_pylist()]
-            bins = pa.array([(features(t) % TOPIC_BINS).astype(np.int32) for t in texts], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array([len(t.split()) for t in texts], pa.int64()), bins], [*keep, "n_tokens", "bins"])
+            words = [(t or "").encode().lower().split() for t in batch.column(text_col).to_pylist()]
+            found = [word_bins(w) for w in words]
+            bins, times = (pa.array([f[k] for f in found], pa.list_(pa.int32())) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array([len(w) for w in words], pa.int64()), bins, times], [*keep, "n_tokens", "bins", "times"])
 
-    vectors = staged(docs.mapInArrow(read, docs.select(*keep).schema.add("n_tokens", "long").add("bins", ArrayType(IntegerType()))), "mix-vectors")
-    sent = docs.sparkSession.sparkContext.broadcast(fit_topics(vectors.select("row_key", "bins"), n_topics))
+    schema = docs.select(*keep).schema.add("n_tokens", "long").add("bins", ArrayType(IntegerType())).add("times", ArrayType(IntegerType()))
+    vectors = staged(docs.mapInArrow(read, schema), "mix-vectors")
+    sent = docs.sparkSession.sparkContext.broadcast(fit_topics(vectors.select("row_key", "bins", "times"), n_topics))
 
     def assign(batches):
         for batch in batches:
-            topic = [int(sent.value[:, b.values.to_numpy()].sum(axis=1).argmax()) for b in batch.column("bins")]
+            topic = np.zeros(len(batch), np.int32)
+            for at, x, _ in _blocks(batch, np.ones(TOPIC_BINS)):
+                topic[at] = (x @ sent.value.T).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (*keep, "n_tokens")], pa.array(topic, pa.int32())], [*keep, "n_tokens", "topic"])
 
     return vectors.mapInArrow(assign, docs.select(*keep).schema.add("n_tokens", "long").add("topic", "integer"))
