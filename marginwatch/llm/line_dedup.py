@@ -8,7 +8,7 @@ Candidates must also agree in their counts of some characters, within the join i
 left is verified by a banded bit-parallel automaton: a row of 2 * edits + 1 bits for each number of edits,
 one bit for each diagonal, stepped once a character.
 
-Lines travel as hashes: texts are read again only for candidates. Equal lines are one vertex. Fixed-size
+Lines travel as hashes; the text of a line is kept once, at its first place, for candidates. Equal lines are one vertex. Fixed-size
 bitmaps keep keys without a partner, and documents without a dropped line, out of every shuffle.
 """
 from __future__ import annotations
@@ -20,7 +20,7 @@ from .common import mark_among, staged, unused
 from .components import connected_components
 
 EDITS = 2
-#: Shorter lines stay wherever they are.
+#: Shorter lines have no near lines: a few edits would be most of them.
 MIN_CHARS = 20
 #: Characters whose counts candidates must share, but for the edits.
 COUNTED = (" ", "e", "n", "t", "r", "a", "o", "s", "i", "h")
@@ -89,31 +89,34 @@ def _hash() -> Column:
     return F.xxhash64("line", F.lit("line"))
 
 
-def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """Of (row_key, doc_id, text): one row (line_key, class_key, n, first) per distinct line that repeats or
-    has a near line; first is the first place (doc_id, row_key, pos) of any line of its class."""
-    occurrences = _lines(docs, min_chars)
+    has a near line; first is the first place (doc_id, row_key, pos) of any line of its class. Lines of
+    exact_chars to min_chars characters (by default none) are in the class of their copies alone."""
+    occurrences = _lines(docs, min_chars if exact_chars is None else min(exact_chars, min_chars))
     counts = [f"octet_length(line) - octet_length(replace(line, '{c}', ''))" for c in COUNTED]
     distinct = occurrences.groupBy(_hash().alias("line_key"), F.xxhash64("line").alias("check")).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row_key", "pos")).alias("first"))
     distinct = staged(distinct.groupBy("line_key").agg(F.sum("n").alias("n"), F.min("first").alias("first")), "lines")
 
     counted = [f"c{k}" for k in range(len(COUNTED))]
-    # Keys are made at the first place of a line only: equal lines elsewhere add nothing.
-    firsts = mark_among(occurrences.withColumn("line_key", _hash()), distinct.select("line_key", "first.doc_id", "first.row_key", "first.pos"), ["line_key", "doc_id", "row_key", "pos"]).where("among")
+    # Keys are made at the first place of a line only: equal lines elsewhere add nothing. The bitmap may let
+    # others through; they go with the repeated rows below.
+    firsts = mark_among(occurrences.where(F.length("line") >= min_chars).withColumn("line_key", _hash()), distinct.select("line_key", "first.doc_id", "first.row_key", "first.pos"), ["line_key", "doc_id", "row_key", "pos"]).where("among")
     shaped = firsts.select("line_key", "line", F.length("line").alias("n_chars"), *[F.expr(c).alias(f"c{k}") for k, c in enumerate(counts)])
-    keyed = staged(shaped.select("line_key", "n_chars", *counted, F.expr(segment_keys(edits)).alias("given"), F.expr(probe_keys(edits)).alias("asked")), "line-keys")
+    keyed = staged(shaped.select("line_key", "line", "n_chars", *counted, F.expr(segment_keys(edits)).alias("given"), F.expr(probe_keys(edits)).alias("asked")), "line-keys")
     given = keyed.select(F.col("line_key").alias("a"), F.col("n_chars").alias("n_a"), *[F.col(c).alias(f"{c}_a") for c in counted], F.explode("given").alias("key"))
     asked = keyed.select(F.col("line_key").alias("b"), F.col("n_chars").alias("n_b"), *[F.col(c).alias(f"{c}_b") for c in counted], F.explode(F.array_distinct("asked")).alias("key"))
     # A line of its own length asks for its own segments; keys that stand on one line only have no partner.
     multiple = staged(asked.groupBy("key").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).where("lo < hi").select("key"), "line-multiple")
-    given, asked = (mark_among(x, multiple, ["key"]).where("among").drop("among") for x in (given, asked))
+    # A row depends on its line alone, so that a line counts once whatever the bitmap let through.
+    given, asked = (mark_among(x, multiple, ["key"]).where("among").drop("among").distinct() for x in (given, asked))
     close = " + ".join(f"abs({c}_a - {c}_b)" for c in counted)
     pairs = given.join(asked, "key").where(((F.col("n_b") > F.col("n_a")) | (F.col("n_b") == F.col("n_a")) & (F.col("a") < F.col("b"))) & (F.col("n_b") <= F.col("n_a") + edits) & F.expr(f"{close} <= {2 * edits} - (n_b - n_a)"))
     pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
 
     wanted = staged(pairs.select(F.col("a").alias("line_key")).union(pairs.select("b")).distinct(), "line-wanted")
-    texts = mark_among(firsts.select("line_key", "line"), wanted, ["line_key"]).where("among").select("line_key", "line").dropDuplicates(["line_key"])
+    texts = mark_among(keyed.select("line_key", "line"), wanted, ["line_key"]).where("among").select("line_key", "line").dropDuplicates(["line_key"])
     texts = staged(texts, "line-texts")
     both = pairs.join(texts.select(F.col("line_key").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("line_key").alias("b"), F.col("line").alias("y")), "b")
     links = staged(both.where(F.expr(within_edits("x", "y", edits))).select("a", "b"), "line-links")
@@ -125,13 +128,14 @@ def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     return staged(near.drop("first").join(first, "class_key"), "line-near")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """docs with text_col without the lines that repeat, or nearly repeat, an earlier one, and three columns
     more: n_lines, n_dropped, dropped (the places, from 0, of the lines that went).
 
     Of a class of near lines (linked by at most `edits` edits, directly or by way of others) the first
-    occurrence stays, by (id, place), a null id before all. Lines shorter than min_chars, white space at
-    their ends left out, always stay. A null text stays null, with no lines; an empty one has one, which
+    occurrence stays, by (id, place), a null id before all. Of lines shorter than
+    min_chars, white space at their ends left out, those of at least exact_chars characters go if they repeat
+    an earlier one exactly; the others, by default all, stay. A null text stays null, with no lines; an empty one has one, which
     stays. Rows that repeat both id and text are one document and keep the same lines. An empty table
     gives no row. Other columns are kept; result columns of these three names replace the input's.
     """
@@ -139,8 +143,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     row_key, among = unused("row_key", docs.columns), unused("among", docs.columns)
     keyed = docs.select(*keep).withColumn(row_key, F.xxhash64(F.col(id_col).cast("string"), text_col))
     narrow = keyed.select(F.col(row_key).alias("row_key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    near = near_lines(narrow, edits, min_chars)
-    places = mark_among(_lines(narrow, min_chars).select("row_key", "doc_id", "pos", _hash().alias("line_key")), near, ["line_key"]).where("among").drop("among")
+    near = near_lines(narrow, edits, min_chars, exact_chars)
+    places = mark_among(_lines(narrow, min_chars if exact_chars is None else min(exact_chars, min_chars)).select("row_key", "doc_id", "pos", _hash().alias("line_key")), near, ["line_key"]).where("among").drop("among")
     gone = places.join(near, "line_key").where(~F.struct("doc_id", "row_key", "pos").eqNullSafe(F.col("first")))
     gone = staged(gone.groupBy("row_key").agg(F.array_sort(F.collect_set("pos")).alias("dropped")), "line-dropped").withColumnRenamed("row_key", row_key)
 

@@ -53,7 +53,7 @@ def op8_proportional_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "dropped", "text")
+    return line_dedup(table(spark, sf_dir, "documents"), exact_chars=1).select("doc_id", "n_lines", "n_dropped", "dropped", "text")
 
 
 def op10_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

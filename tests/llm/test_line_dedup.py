@@ -107,5 +107,22 @@ def test_near_lines_are_classes(spark):
     assert sorted((len(x), sum(x)) for x in have.values()) == want
 
 
+def test_short_lines_repeat_exactly(spark):
+    rows = [(1, "yes\nno\n\n\na line that is longer than twenty"), (2, " yes\r\nnot"), (3, "no\nyes"), (None, "not"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.dropped) for r in line_dedup(docs, exact_chars=1).collect()}
+    assert got == {1: (rows[0][1], []), 2: ("", [0, 1]), 3: ("", [0, 1]), None: ("not", []), 4: (None, [])}
+    assert {r.doc_id: r.text for r in line_dedup(docs, exact_chars=3).collect()}[3] == "no"
+    assert all(r.n_dropped == 0 for r in line_dedup(docs).collect())
+
+
+def test_full_bitmap_changes_nothing(spark, monkeypatch):
+    """With a bitmap of two bits every copy of a line passes it; each line still counts once."""
+    docs = spark.createDataFrame([(k, i, t) for k, (i, t) in enumerate(corpus())], "row_key long, doc_id long, text string").repartition(5)
+    want = sorted((r.line_key, r.class_key, r.n, r.first) for r in near_lines(docs, exact_chars=1).collect())
+    monkeypatch.setattr("marginwatch.llm.common.FILTER_BITS", 1)
+    assert sorted((r.line_key, r.class_key, r.n, r.first) for r in near_lines(docs, exact_chars=1).collect()) == want
+
+
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
