@@ -39,13 +39,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier one; those that lose all of their text go.
+    """Documents without lines that repeat an earlier one, short ones exactly; those that lose all of their text go.
 
     A null or empty text has lost nothing and stays. The first line of a class stays, by (id, place), a null
     id first; rows that repeat id and text keep the same lines. A long text is cut like any other.
     """
     docs, back = _aside(docs)
-    left = line_dedup(docs).where("n_dropped = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    left = line_dedup(docs, exact_chars=1).where("n_dropped = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
     return left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*back)
 
 
