@@ -17,7 +17,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
 
 from .common import staged
 
@@ -53,7 +52,12 @@ def word_bins(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     distinct = set(words)
     n = np.bincount(np.fromiter(map(_bins().__getitem__, distinct), np.int64, len(distinct)), minlength=1)
     at = np.flatnonzero(n)
-    return at.astype(np.int32), n[at].astype(np.int32)
+    return at.astype("<u2"), n[at].astype("<u4")
+
+
+def _numbers(column: pa.Array, kind: str) -> np.ndarray:
+    """The numbers packed into the values of a binary column, one value after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
 def _blocks(batch: pa.RecordBatch, scale: np.ndarray):
@@ -61,8 +65,8 @@ def _blocks(batch: pa.RecordBatch, scale: np.ndarray):
     numbers of words times scale. A document whose words scale hides is left out."""
     for start in range(0, len(batch), BLOCK):
         part = batch.slice(start, BLOCK)
-        size = pc.list_value_length(part.column("bins")).to_numpy(zero_copy_only=False).astype(np.int64)
-        at, n = (part.column(c).flatten().to_numpy() for c in ("bins", "times"))
+        size = pc.binary_length(part.column("bins")).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+        at, n = _numbers(part.column("bins"), "<u2").astype(np.int64), _numbers(part.column("times"), "<u4")
         value = n * scale[at]
         row = np.repeat(np.arange(len(size)), size)
         norm = np.sqrt(np.bincount(row, value * value, len(size)))
@@ -119,7 +123,7 @@ def fit_topics(vectors: DataFrame, n_topics: int, rounds: int = ROUNDS) -> np.nd
         total = np.zeros(TOPIC_BINS + 1)
         for batch in batches:
             total[TOPIC_BINS] += len(batch)
-            total[:TOPIC_BINS] += np.bincount(batch.column("bins").flatten().to_numpy(), minlength=TOPIC_BINS)
+            total[:TOPIC_BINS] += np.bincount(_numbers(batch.column("bins"), "<u2"), minlength=TOPIC_BINS)
         yield _parts({0: total})
 
     found = _summed(vectors.select("bins").mapInArrow(frequencies, "part int, sums binary")).get(0, np.zeros(TOPIC_BINS + 1))
@@ -158,10 +162,10 @@ def with_topics(docs: DataFrame, text_col: str, n_topics: int) -> DataFrame:
         for batch in batches:
             words = [(t or "").encode().lower().split() for t in batch.column(text_col).to_pylist()]
             found = [word_bins(w) for w in words]
-            bins, times = (pa.array([f[k] for f in found], pa.list_(pa.int32())) for k in (0, 1))
+            bins, times = (pa.array([f[k].tobytes() for f in found], pa.binary()) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array([len(w) for w in words], pa.int64()), bins, times], [*keep, "n_tokens", "bins", "times"])
 
-    schema = docs.select(*keep).schema.add("n_tokens", "long").add("bins", ArrayType(IntegerType())).add("times", ArrayType(IntegerType()))
+    schema = docs.select(*keep).schema.add("n_tokens", "long").add("bins", "binary").add("times", "binary")
     vectors = staged(docs.mapInArrow(read, schema), "mix-vectors")
     sent = docs.sparkSession.sparkContext.broadcast(fit_topics(vectors.select("row_key", "bins", "times"), n_topics))
 
