@@ -111,3 +111,19 @@ def test_audit_covers_every_hundredth_id_and_counts_pairs(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     audit = G.near_vectors_audited(frame)[1]
     assert audit["links"] == sum(n for i, n in want.items() if i % 100 == 0) and audit["pair_recall"] >= 0.95
+
+
+def test_audit_goes_by_rows_that_have_a_smaller_twin(spark):
+    """Every audited id has an exact copy one below it, and near ones besides; an audit by vertex would be empty."""
+    rng, rows = np.random.default_rng(3), []
+    for g in range(1, 31):
+        v = rng.normal(size=16)
+        rows += [(100 * g - 1, v), (100 * g, v)] + [(100 * g + k, v + 0.01 * rng.normal(size=16)) for k in (1, 2, 3, 4)]
+    frame = spark.createDataFrame([(i, [float(x) for x in v], "l") for i, v in rows], "vec_id long, embedding array<float>, label string")
+    got, audit = G.near_vectors_audited(frame)
+    assert audit["links"] == sum(r.n_links for r in got.collect() if r.vec_id % 100 == 0) >= 30 * 5 and audit["recall"] >= 0.95 and audit["pair_recall"] >= 0.95
+
+
+def test_nothing_audited_is_not_a_recall(spark):
+    frame = spark.createDataFrame([(k, [float(k == j) for j in range(4)], "l") for k in range(1, 4)], "vec_id long, embedding array<float>, label string")
+    assert G.near_vectors_audited(frame)[1] == {"links": 0, "recall": None, "pair_recall": None, "attempts": 1}
