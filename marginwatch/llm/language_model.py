@@ -7,8 +7,8 @@ words form classes by their last two bytes; within these a word has its smoothed
 last kind holds one unknown type, so that the probabilities of known and unknown words sum to one.
 
 Counts, classes and shares come from every training document. The network is trained by truncated
-backpropagation: each training document gives a run of consecutive windows, the state is carried from one to
-the next, gradients are not. Tasks train on their rows, and their weights are averaged, by a tree, after each
+backpropagation on every token of them: each round takes the next part of every document, in consecutive windows; the
+state is carried from one to the next, gradients are not. Tasks train on their rows, some at a time, and their weights are averaged, by a tree, after each
 round. For scoring, documents of a task run side by side, sorted by length, window after window with the
 state carried, so that a document is scored whole whatever its length.
 """
@@ -29,11 +29,11 @@ HEAD, INPUTS, HOT, HOT_CLASS = 100_000, 3_000, 256, 32
 #: Frequency classes of a stratum; strata with classes of their own; classes of the words outside the head.
 BINS, STRATA, RARE = 4, 8, 16
 STATE = 16
-#: Length of a window, windows of a training run, documents side by side in training, rounds.
-WINDOW, RUN, BATCH, ROUNDS = 16, 2, 64, 3
+#: Length of a window, documents side by side in training, rounds (each trains on one of so many parts of every text).
+WINDOW, BATCH, ROUNDS = 16, 64, 3
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 150_000
-#: Tokens of documents that are scored side by side, at most (a longer document is scored by itself).
+#: Tokens of documents that are scored, or trained on, side by side, at most (a longer document by itself).
 SCORED = 1_500_000
 
 
@@ -133,21 +133,32 @@ def log_probabilities(m: dict, v: Vocabulary, h: np.ndarray, codes: np.ndarray)
     return out
 
 
-def train_runs(m: dict, v: Vocabulary, runs: list[np.ndarray], rate: float = 0.1) -> dict:
-    """One pass of AdaGrad over runs of codes, in windows of WINDOW with the state carried and not its gradient."""
+def part_of(codes: np.ndarray, k: int) -> np.ndarray:
+    """The part of a document that round k trains on; together the rounds train on each token once."""
+    size = -(-len(codes) // ROUNDS)
+    return codes[k * size:(k + 1) * size]
+
+
+def train_runs(m: dict, v: Vocabulary, runs: list[np.ndarray], rate: float = 0.1, sums: dict | None = None) -> dict:
+    """One pass of AdaGrad over runs of codes, in windows of WINDOW with the state carried and not its gradient.
+    `sums`, where given, are the squares of earlier passes and take those of this one."""
     m = {k: a.copy() for k, a in m.items()}
-    sums = {k: np.full_like(a, 1e-2) for k, a in m.items()}
-    runs = sorted(runs, key=len)
+    sums = {} if sums is None else sums
+    for k, a in m.items():
+        sums.setdefault(k, np.full_like(a, 1e-2))
+    runs = sorted((r for r in runs if len(r)), key=len)
     batches = [runs[i:i + BATCH] for i in range(0, len(runs), BATCH)]
     for b in np.random.default_rng(len(runs)).permutation(len(batches)):
         some = batches[b]
+        length = np.array([len(r) for r in some])
         h = np.zeros((len(some), STATE), np.float32)
-        longest = max(map(len, some))
-        codes = np.full((longest, len(some)), -1, np.int64)
-        for j, r in enumerate(some):
-            codes[: len(r), j] = r
-        for t0 in range(0, longest, WINDOW):
-            h = _window(m, v, sums, codes[t0:t0 + WINDOW], h, rate)
+        for t0 in range(0, int(length[-1]), WINDOW):
+            alive = some[int(np.searchsorted(length, t0, side="right")):]  # the shortest end first
+            codes = np.full((min(WINDOW, int(length[-1]) - t0), len(alive)), -1, np.int64)
+            for j, r in enumerate(alive):
+                piece = r[t0:t0 + WINDOW]
+                codes[: len(piece), j] = piece
+            h = _window(m, v, sums, codes, h[len(h) - len(alive):], rate)
     return m
 
 
@@ -164,7 +175,7 @@ def _window(m: dict, v: Vocabulary, sums: dict, codes: np.ndarray, h: np.ndarray
         return states[-1]
     before, want = np.stack(states[:-1])[t, j], codes[t, j]
     scale = 1 / len(want)
-    g = {k: np.zeros_like(a) for k, a in m.items()}
+    g = {k: np.zeros_like(a) for k, a in m.items() if k != "x"}
     p = np.exp(_softmax_log(before @ m["c"].T + m["cb"]))
     p[np.arange(len(want)), v.cls[want]] -= 1
     p *= scale
@@ -306,31 +317,34 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     head_log = np.log10(np.array([c for _, c, _ in head] + [n_ends], float) + 0.5)
     sent = spark.sparkContext.broadcast((vocabulary, head_log))
 
-    def runs(batches):
+    def encoded(batches):
         v, _ = sent.value
         for batch in batches:
-            out = []
-            for k, t in enumerate(batch.column("text").to_pylist()):
-                words = t.lower().split()
-                take = WINDOW * RUN
-                at = zlib.crc32(t[:4096] + str(len(t)).encode()) % max(1, len(words) + 2 - take)
-                codes, _ = v.encode(words[at:at + take])
-                out.append((codes if at + take > len(words) else codes[:-1]).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32()))], ["codes"])
-
-    sampled = staged(learn.select("text").mapInArrow(runs, "codes array<int>"), "lm-runs")
+            out = [v.encode(t.lower().split())[0].astype(np.int32) for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *out]))], ["codes"])
+
+    texts = staged(learn.select("text").mapInArrow(encoded, "codes array<int>"), "lm-codes")
     weights = initial(vocabulary)
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         now = spark.sparkContext.broadcast(_pack(weights))
 
-        def fit(batches):
+        def fit(batches, turn=turn):
             v, _ = sent.value
-            mine = [np.array(c, np.int64) for batch in batches for c in batch.column("codes").to_pylist()]
-            if mine:
-                m = train_runs(_unpack(now.value, initial(v)), v, mine)
-                yield pa.RecordBatch.from_arrays([pa.array([len(mine)], pa.int64()), pa.array([_pack(m)], pa.binary())], ["n", "weights"])
-
-        row = _average(sampled.mapInArrow(fit, "n long, weights binary")).first()
+            m, sums, waiting, tokens, seen = _unpack(now.value, initial(v)), {}, [], 0, 0
+            for batch in batches:
+                for c in batch.column("codes"):
+                    waiting.append(part_of(c.values.to_numpy(zero_copy_only=False), turn).astype(np.int64))
+                    tokens += len(waiting[-1])
+                    if tokens >= SCORED:
+                        m, seen = train_runs(m, v, waiting, sums=sums), seen + tokens
+                        waiting, tokens = [], 0
+            if tokens:
+                m, seen = train_runs(m, v, waiting, sums=sums), seen + tokens
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([_pack(m)], pa.binary())], ["n", "weights"])
+
+        row = _average(texts.mapInArrow(fit, "n long, weights binary")).first()
         weights = _unpack(row.weights, weights) if row else weights
     model = spark.sparkContext.broadcast(_pack(weights))
     fields = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("head_log", pa.float64()), ("model_log", pa.float64()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int32()))])

@@ -71,3 +71,17 @@ def test_without_training_documents(spark):
     got = L.score_texts(spark.createDataFrame([(held, "a b", "en")], "doc_id long, text string, lang string")).collect()
     assert got[0].n_known == 0 and got[0].train_tokens == 0 and got[0].n_tokens == 3 and math.isfinite(got[0].score)
     assert L.score_texts(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
+
+
+def test_every_training_token_is_trained_on():
+    for n in (0, 1, 2, 3, 50, 1000):
+        codes = np.arange(n)
+        assert np.array_equal(np.concatenate([L.part_of(codes, k) for k in range(L.ROUNDS)]), codes)
+    # A pattern that starts beyond what one short run of a text would show is learned as well.
+    v, rng = vocabulary(), np.random.default_rng(4)
+    texts = [np.concatenate([rng.integers(300, 600, 40), np.tile([3, 50, 9, 300], 30)]) for _ in range(60)]
+    m = L.initial(v)
+    before = L.score_documents(m, v, [texts[0][40:]])[0]
+    for k in range(L.ROUNDS):
+        m = L.train_runs(m, v, [L.part_of(t, k) for t in texts])
+    assert L.score_documents(m, v, [texts[0][40:]])[0] > 0.8 * before
