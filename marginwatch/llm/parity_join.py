@@ -38,6 +38,10 @@ SKETCH_WORDS = 16
 ROUNDS = 4
 #: Words whose hashes one Python worker keeps.
 CACHE_WORDS = 250_000
+#: Bits of a key by which its documents are counted, and groups that count them: a bucket holds 4 bytes a key.
+SLOT_BITS, BUCKETS = 43, 2_048
+#: SQL text of a key's slot.
+SLOT = f"shiftrightunsigned(key, {64 - SLOT_BITS})"
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -171,6 +175,24 @@ def sketch_documents(docs: DataFrame, width: int, num: int, den: int) -> DataFra
     return docs.mapInArrow(run, "doc_id long, n_shingles long, check_a long, check_b long, sketch array<long>, wide binary, keys array<long>, sizes array<int>, need int")
 
 
+def repeated_slots(vertices: DataFrame) -> DataFrame:
+    """Of (keys): slot, n_rows of those slots, the first SLOT_BITS bits of a key, that stand more than once. Four bytes a
+    key are shuffled: a key's first bits name its bucket, and the other bits of its slot lie side by side in one value."""
+    def deal(batches):
+        for batch in batches:
+            slots = np.sort(batch.column("keys").flatten().to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - SLOT_BITS))
+            ends = np.searchsorted(slots, np.arange(1, BUCKETS + 1, dtype=np.uint64) << np.uint64(32)).tolist()
+            rest, starts = slots.astype("<u4"), [0, *ends[:-1]]
+            filled = [k for k in range(BUCKETS) if ends[k] > starts[k]]
+            yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array([rest[starts[k]:ends[k]].tobytes() for k in filled], pa.binary())], ["bucket", "rest"])
+
+    def count(key, table):
+        rest, n = np.unique(np.frombuffer(b"".join(table.column("rest").to_pylist()), "<u4"), return_counts=True)
+        return pa.table({"slot": (key[0].as_py() << 32) + rest[n > 1].astype(np.int64), "n_rows": n[n > 1].astype(np.int64)})
+
+    return vertices.mapInArrow(deal, "bucket int, rest binary").groupBy("bucket").applyInArrow(count, "slot long, n_rows long")
+
+
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """The shingles of the documents with these ids; only their texts leave the scan."""
     def run(batches):
@@ -250,21 +272,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
     same = ["n_shingles", "check_a", "check_b"]
 
-    # Equal sets are one vertex, their smallest id; only sets that repeat are joined back.
+    # Equal sets are one vertex, their smallest id. Sketches and keys stay where they are: a bitmap tells which sets may
+    # repeat, and of those only ids and checksums meet the repeats. A second bitmap tells which of them are vertices; a
+    # copy that it lets through wrongly is one vertex more, with the same links.
     repeats = staged(filled.groupBy(same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1").drop("n_rows"), "parity-repeats")
-    vertices = filled.join(repeats, same, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    copies = vertices.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    single = staged(vertices.where("doc_id = rep").select("doc_id", F.col("check_b").alias("row"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"), "wide", "keys", "sizes", "need"), "parity-vertices")
-
-    # Keys that two vertices share, found by aggregates that combine map-side; other keys go no further. A
-    # vertex needs as many keys as a linked one must meet; those of its own come first, then the rarest.
-    spread = single.select("doc_id", "row", "sizes", "need", F.posexplode("keys").alias("pos", "key"))
-    shared = staged(spread.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n_rows")).where("lo < hi").select("key", "n_rows"), "parity-keys")
-    band = "if(pos < sizes[1], struct(0 as band, sizes[0] as filled, pos >= sizes[0] as empty), struct(1 as band, sizes[2] as filled, pos - sizes[1] >= sizes[2] as empty))"
-    met = mark_among(spread, shared, ["key"]).where("among").drop("among").withColumn("at", F.expr(band)).join(shared, "key")
-    ranked = met.groupBy("doc_id", "row", "need", "at.band", "at.filled").agg(
-        F.sort_array(F.collect_set(F.expr("if(not at.empty, struct(n_rows, key), null)"))).alias("own"), F.collect_set(F.expr("if(at.empty, key, null)")).alias("empty"))
-    mates = staged(ranked.select("doc_id", F.explode(F.expr("concat(slice(own.key, 1, greatest(0, need - filled + size(own))), empty)")).alias("key")).distinct(), "parity-mates")
+    told = mark_among(filled.select("doc_id", *same), repeats, same).where("among").drop("among")
+    told = staged(told.join(repeats, same, "left"), "parity-told")
+    copies = told.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    first = told.where("rep is null or doc_id = rep")
+    vertices = mark_among(mark_among(filled, repeats, same, "repeats"), first, ["doc_id", *same], "first").where("not repeats or first")
+    single = staged(vertices.select("doc_id", F.col("n_shingles").alias("n"), F.col("sketch").alias("s"), "wide"), "parity-vertices")
+
+    # Keys that two vertices share; other keys go no further. A vertex needs as many keys as a linked one must meet;
+    # those of its own come first, then the rarest.
+    shared = staged(repeated_slots(vertices.select("keys")), "parity-keys")
+    spread = vertices.select("doc_id", F.col("check_b").alias("row"), "sizes", "need", F.posexplode("keys").alias("pos", "key"))
+    band = F.expr("if(pos < sizes[1], 0, 1)").alias("band")
+    empty = F.expr("if(pos < sizes[1], pos >= sizes[0], pos - sizes[1] >= sizes[2])").alias("empty")
+    short = F.expr("need - if(pos < sizes[1], sizes[0], sizes[2])").alias("short")  # keys that are needed beyond its filled parts
+    met = mark_among(spread.withColumn("slot", F.expr(SLOT)), shared, ["slot"]).where("among").select("doc_id", "row", "key", band, empty, short)
+    met = met.join(shared, F.expr(f"{SLOT} = slot"))
+    ranked = met.groupBy("doc_id", "row", "short", "band").agg(
+        F.sort_array(F.collect_set(F.expr("if(not empty, struct(n_rows, key), null)"))).alias("own"), F.collect_set(F.expr("if(empty, key, null)")).alias("empty"))
+    mates = staged(ranked.select("doc_id", F.explode(F.expr("concat(slice(own.key, 1, greatest(0, short + size(own))), empty)")).alias("key")).distinct(), "parity-mates")
 
     links, open_ = copies, mates.withColumn("component", F.col("doc_id"))
     for k in range(ROUNDS):

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from marginwatch.llm.components import connected_components
-from marginwatch.llm.parity_join import Bands, folded, jaccard_components, shingles, wide_distance, wide_sketch
+from marginwatch.llm import parity_join
+from marginwatch.llm.parity_join import SLOT_BITS, Bands, folded, jaccard_components, repeated_slots, shingles, wide_distance, wide_sketch
 
 
 def brute(rows, width, num, den):
@@ -122,3 +123,32 @@ def test_documents_around_one_long_passage(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect())
     assert got == sorted(brute(rows, 5, 80, 100))
+
+
+def test_keys_are_counted_by_slot(spark):
+    rng = np.random.default_rng(3)
+    known = rng.integers(-(1 << 63), 1 << 63, 400)
+    rows = [[int(k) for k in rng.choice(known, rng.integers(0, 30), replace=False)] for _ in range(50)] + [[0, -1], [-1], []]
+    counts = {}
+    for row in rows:
+        for k in row:
+            slot = k % (1 << 64) >> (64 - SLOT_BITS)
+            counts[slot] = counts.get(slot, 0) + 1
+    got = {r.slot: r.n_rows for r in repeated_slots(spark.createDataFrame([(r,) for r in rows], "keys array<long>").repartition(4)).collect()}
+    assert got == {k: n for k, n in counts.items() if n > 1}
+
+
+def test_sketches_stay_where_they_are_when_copies_are_found(spark, monkeypatch):
+    """Their only joins are with bitmaps, by bucket; joined with the table of repeats they were shuffled once that was large."""
+    joins, write = [], parity_join.staged
+
+    def seen(df, name):
+        if name == "parity-vertices":
+            joins.extend(line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line)
+        return write(df, name)
+
+    monkeypatch.setattr(parity_join, "staged", seen)
+    rows = [(i, f"text {i % 40} " + " ".join(f"w{(i % 40) * k % 97}" for k in range(30))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()) == sorted(brute(rows, 5, 80, 100))
+    assert joins and all("_bucket" in line for line in joins)
