@@ -204,10 +204,14 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return staged(some, "parity-sets")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """doc_id of both ends of the pairs, once a pair: a bitmap of them needs no more."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+
+
 def _similarity(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(a, b) with the exact sizes of intersection and union."""
-    ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "parity-ids")
-    sets = _sets(docs, ids, width)
+    sets = _sets(docs, _ends(pairs), width)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b")
 
     def run(batches):
@@ -239,8 +243,7 @@ def _near(pairs: DataFrame, vertices: DataFrame, num: int, den: int) -> DataFram
     """The pairs whose sizes and sketches, the folded and then the wide ones, allow a link."""
     pairs = staged(pairs, "parity-pairs")
     for sketch in ("s", "wide"):
-        ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "parity-ids")
-        side = _sides(staged(mark_among(vertices.select("doc_id", "n", sketch), ids, ["doc_id"]).where("among").drop("among"), "parity-sides"), sketch)
+        side = _sides(staged(mark_among(vertices.select("doc_id", "n", sketch), _ends(pairs), ["doc_id"]).where("among").drop("among"), "parity-sides"), sketch)
         both = pairs.join(side["a"], "a").join(side["b"], "b")
         if sketch == "s":
             pairs = staged(both.where(_close(num, den, SKETCH_WORDS)).select("a", "b").distinct(), "parity-pairs")
