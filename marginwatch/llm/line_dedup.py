@@ -79,10 +79,14 @@ def within_edits(a: str, b: str, edits: int) -> str:
             f"_rows -> exists(_rows, _r -> (shiftright(_r, {at_end}) & 1) = 1))")
 
 
+#: SQL: the line without blanks, tabs and returns at its ends. btrim takes long and few lines need it.
+_TRIMMED = "if(" + " or ".join(f"{at}swith(line, '{c}')" for at in ("start", "end") for c in (" ", "\\t", "\\r")) + ", btrim(line, ' \\t\\r'), line)"
+
+
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(row_key, doc_id, pos, line) of the lines that count, without white space at their ends."""
     lines = docs.select("row_key", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return lines.withColumn("line", F.expr("btrim(line, ' \\t\\r')")).where(F.length("line") >= min_chars)
+    return lines.withColumn("line", F.expr(_TRIMMED)).where(F.length("line") >= min_chars)
 
 
 def _hash() -> Column:
@@ -103,14 +107,16 @@ def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     # Keys are made at the first place of a line only: equal lines elsewhere add nothing. The bitmap may let
     # others through; they go with the repeated rows below.
     firsts = mark_among(occurrences.where(F.length("line") >= min_chars).withColumn("line_key", _hash()), distinct.select("line_key", "first.doc_id", "first.row_key", "first.pos"), ["line_key", "doc_id", "row_key", "pos"]).where("among")
-    shaped = firsts.select("line_key", "line", F.length("line").alias("n_chars"), *[F.expr(c).alias(f"c{k}") for k, c in enumerate(counts)])
-    keyed = staged(shaped.select("line_key", "line", "n_chars", *counted, F.expr(segment_keys(edits)).alias("given"), F.expr(probe_keys(edits)).alias("asked")), "line-keys")
-    given = keyed.select(F.col("line_key").alias("a"), F.col("n_chars").alias("n_a"), *[F.col(c).alias(f"{c}_a") for c in counted], F.explode("given").alias("key"))
-    asked = keyed.select(F.col("line_key").alias("b"), F.col("n_chars").alias("n_b"), *[F.col(c).alias(f"{c}_b") for c in counted], F.explode(F.array_distinct("asked")).alias("key"))
+    shaped = firsts.select("line_key", "line", F.length("line").alias("n_chars"))
+    keyed = staged(shaped.select("*", F.expr(segment_keys(edits)).alias("given"), F.expr(probe_keys(edits)).alias("asked")), "line-keys")
+    given = keyed.select(F.col("line_key").alias("a"), F.col("n_chars").alias("n_a"), "line", F.explode("given").alias("key"))
+    asked = keyed.select(F.col("line_key").alias("b"), F.col("n_chars").alias("n_b"), "line", F.explode(F.array_distinct("asked")).alias("key"))
     # A line of its own length asks for its own segments; keys that stand on one line only have no partner.
     multiple = staged(asked.groupBy("key").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).where("lo < hi").select("key"), "line-multiple")
-    # A row depends on its line alone, so that a line counts once whatever the bitmap let through.
-    given, asked = (mark_among(x, multiple, ["key"]).where("among").drop("among").distinct() for x in (given, asked))
+    # A row depends on its line alone, so that a line counts once whatever the bitmap let through. Characters are
+    # counted where a key is left, not in every line.
+    given, asked = (mark_among(rows, multiple, ["key"]).where("among").select(x, f"n_{x}", *[F.expr(c).alias(f"c{k}_{x}") for k, c in enumerate(counts)], "key").distinct()
+                    for x, rows in (("a", given), ("b", asked)))
     close = " + ".join(f"abs({c}_a - {c}_b)" for c in counted)
     pairs = given.join(asked, "key").where(((F.col("n_b") > F.col("n_a")) | (F.col("n_b") == F.col("n_a")) & (F.col("a") < F.col("b"))) & (F.col("n_b") <= F.col("n_a") + edits) & F.expr(f"{close} <= {2 * edits} - (n_b - n_a)"))
     pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
