@@ -1,5 +1,9 @@
+import time
+
+from pyspark.sql import functions as F
+
 from marginwatch.functions.among import PIECE as WIDE_PIECE, may_hold
-from marginwatch.llm.common import BATCH_BYTES, PIECE, mark_among, table
+from marginwatch.llm.common import BATCH_BYTES, PIECE, mark_among, staged, table
 
 
 def plan(df):
@@ -31,3 +35,19 @@ def test_batches_for_python_are_bounded_by_bytes(spark, tmp_path):
 
     found = [r.id for r in table(spark, str(tmp_path), "documents").mapInArrow(sizes, "id long").collect()]
     assert sum(found) > 60_000_000 and max(found) < 2 * BATCH_BYTES
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    def shuffle_files():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    before = shuffle_files()
+    rows = spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count()  # the reference keeps its shuffle from the garbage
+    found = staged(rows.join(rows.withColumnRenamed("count", "n"), "k"), "shuffled")
+    for _ in range(50):  # files go in the background
+        if not (left := shuffle_files() - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert found.count() == 7 and rows.count() == 7
