@@ -9,7 +9,6 @@ at most 1; a hash of the document decides.
 """
 from __future__ import annotations
 
-import functools
 import zlib
 
 import numpy as np
@@ -22,8 +21,8 @@ from .common import staged
 
 #: Bins that words fold into, rounds of k-means at most.
 TOPIC_BINS, ROUNDS = 4_096, 12
-#: Documents that are multiplied together, words whose bins a worker keeps, groups that tasks are summed in first.
-BLOCK, CACHE_WORDS, LANES = 512, 250_000, 1_024
+#: Documents that are compared with centres together, groups that tasks are summed in first.
+BLOCK, LANES = 512, 1_024
 #: Exponent that flattens a marginal's own shares where no target is given.
 FLATTEN = 0.7
 #: Raking ends when no marginal is off by more than this, relatively, or after so many sweeps.
@@ -32,25 +31,10 @@ TOLERANCE, SWEEPS = 1e-6, 200
 MAX_CELLS = 1_000_000
 
 
-class _Bins(dict):
-    """The bin of each word, of as many words as one Python worker keeps."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = k = zlib.crc32(word) % TOPIC_BINS
-        return k
-
-
-@functools.lru_cache(maxsize=1)
-def _bins() -> _Bins:
-    return _Bins()
-
-
 def word_bins(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct bins of a text's words, in order, and how many distinct words fold into each."""
     distinct = set(words)
-    n = np.bincount(np.fromiter(map(_bins().__getitem__, distinct), np.int64, len(distinct)), minlength=1)
+    n = np.bincount(np.fromiter(map(zlib.crc32, distinct), np.int64, len(distinct)) % TOPIC_BINS, minlength=1)
     at = np.flatnonzero(n)
     return at.astype("<u2"), n[at].astype("<u4")
 
@@ -60,20 +44,49 @@ def _numbers(column: pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
+class _Block:
+    """Documents as rows of unit length by bin, of which only the bins that they have are held: `value` at (`row`, `at`), row
+    after row, every row with one at least."""
+
+    def __init__(self, size: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
+        self.size, self.at, self.value = size, at, value
+        self.start = np.cumsum(size) - size
+
+    def like(self, centres: np.ndarray) -> np.ndarray:
+        """Inner products, documents by centres."""
+        out = np.empty((len(self.size), len(centres)))
+        for t, centre in enumerate(centres):
+            out[:, t] = np.add.reduceat(centre[self.at] * self.value, self.start) if len(self.size) else 0
+        return out
+
+    def summed(self, group: np.ndarray, n: int) -> np.ndarray:
+        """Sums of the documents by group, groups from 0 to n by bins; a group below 0 is none."""
+        place = np.repeat(group, self.size) * TOPIC_BINS + self.at
+        kept = place >= 0
+        return np.bincount(place[kept], self.value[kept], n * TOPIC_BINS).reshape(n, TOPIC_BINS)
+
+    def whole(self, k: int) -> np.ndarray:
+        """Document k by all bins."""
+        out, own = np.zeros(TOPIC_BINS), slice(self.start[k], self.start[k] + self.size[k])
+        out[self.at[own]] = self.value[own]
+        return out
+
+
 def _blocks(batch: pa.RecordBatch, scale: np.ndarray):
-    """(places in the batch, rows of unit length by bin, lengths before) of its documents, BLOCK at a time:
-    numbers of words times scale. A document whose words scale hides is left out."""
+    """(places in the batch, a _Block, lengths before) of its documents, BLOCK at a time: numbers of words times
+    scale. A document whose words scale hides is left out."""
     for start in range(0, len(batch), BLOCK):
         part = batch.slice(start, BLOCK)
         size = pc.binary_length(part.column("bins")).to_numpy(zero_copy_only=False).astype(np.int64) // 2
         at, n = _numbers(part.column("bins"), "<u2").astype(np.int64), _numbers(part.column("times"), "<u4")
         value = n * scale[at]
-        row = np.repeat(np.arange(len(size)), size)
-        norm = np.sqrt(np.bincount(row, value * value, len(size)))
-        x = np.zeros((len(size), TOPIC_BINS))
-        x[row, at] = value / np.where(norm > 1e-9, norm, 1)[row]
-        seen = np.flatnonzero(norm > 1e-9)
-        yield start + seen, x if len(seen) == len(x) else x[seen], norm[seen]
+        norm = np.sqrt(np.bincount(np.repeat(np.arange(len(size)), size), value * value, len(size)))
+        told = norm > 1e-9
+        value = value / np.repeat(np.where(told, norm, 1), size)
+        if not told.all():
+            kept = np.repeat(told, size)
+            at, value = at[kept], value[kept]
+        yield start + np.flatnonzero(told), _Block(size[told], at, value), norm[told]
 
 
 def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
@@ -103,11 +116,11 @@ def _farthest(vectors: DataFrame, rarity: np.ndarray, c: np.ndarray) -> np.ndarr
             keys = batch.column("row_key").to_numpy()
             for at, x, norm in _blocks(batch, rarity):
                 if len(at):
-                    near, less = np.round((x @ sent.value.T).max(axis=1, initial=-1.0), 9), np.round(-norm, 9)  # sums differ in their last bits by block
+                    near, less = np.round(x.like(sent.value).max(axis=1, initial=-1.0), 9), np.round(-norm, 9)  # sums differ in their last bits by block
                     k = np.lexsort((keys[at], less, near))[0]
                     new = float(near[k]), float(less[k]), int(keys[at[k]])
                     if best is None or new < best[:3]:
-                        best = *new, x[k].tobytes()
+                        best = *new, x.whole(k).tobytes()
         if best:
             yield pa.RecordBatch.from_arrays([pa.array([b]) for b in best], ["near", "less", "row_key", "value"])
 
@@ -138,10 +151,10 @@ def fit_topics(vectors: DataFrame, n_topics: int, rounds: int = ROUNDS) -> np.nd
             sums = np.zeros((len(sent.value), TOPIC_BINS + 1))
             for batch in batches:
                 for _, x, _ in _blocks(batch, rarity):
-                    like = x @ sent.value.T
-                    mine = ((like.argmax(axis=1)[:, None] == np.arange(len(sums))) & (pulls | (like > 1e-9))).T.astype(float)
-                    sums[:, :-1] += mine @ x
-                    sums[:, -1] += mine.sum(axis=1)
+                    like = x.like(sent.value)
+                    mine = np.where(pulls | (like.max(axis=1) > 1e-9), like.argmax(axis=1), -1)
+                    sums[:, :-1] += x.summed(mine, len(sums))
+                    sums[:, -1] += np.bincount(mine[mine >= 0], minlength=len(sums))
             yield _parts({int(t): sums[t] for t in np.flatnonzero(sums[:, -1])})
 
         # The largest topic comes first: documents that share no word with any centre go there once that is known.
@@ -160,7 +173,7 @@ def with_topics(docs: DataFrame, text_col: str, n_topics: int) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            words = [(t or "").encode().lower().split() for t in batch.column(text_col).to_pylist()]
+            words = [(t or b"").lower().split() for t in batch.column(text_col).cast(pa.binary()).to_pylist()]
             found = [word_bins(w) for w in words]
             bins, times = (pa.array([f[k].tobytes() for f in found], pa.binary()) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array([len(w) for w in words], pa.int64()), bins, times], [*keep, "n_tokens", "bins", "times"])
@@ -173,7 +186,7 @@ def with_topics(docs: DataFrame, text_col: str, n_topics: int) -> DataFrame:
         for batch in batches:
             topic = np.zeros(len(batch), np.int32)
             for at, x, _ in _blocks(batch, np.ones(TOPIC_BINS)):
-                topic[at] = (x @ sent.value.T).argmax(axis=1)
+                topic[at] = x.like(sent.value).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (*keep, "n_tokens")], pa.array(topic, pa.int32())], [*keep, "n_tokens", "topic"])
 
     return vectors.mapInArrow(assign, docs.select(*keep).schema.add("n_tokens", "long").add("topic", "integer"))

@@ -1,9 +1,11 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from marginwatch.llm import mixing
 from marginwatch.llm.mixing import mix, probabilities, rake
 from marginwatch.llm.quality import classify, features, fit, grades_of
 
@@ -90,3 +92,25 @@ def test_rare_topic_is_found_among_many_documents(spark):
     topics = {r.doc_id: r.topic for r in mix(docs, n_topics=3).collect()}
     assert len({topics[20_000 + i] for i in range(3)}) == 1 and topics[20_000] not in {topics[i] for i in range(12_000)}
     assert topics == {r.doc_id: r.topic for r in mix(docs.repartition(7), n_topics=3).collect()}
+
+
+def test_blocks_hold_the_bins_that_documents_have_and_give_the_same_products():
+    texts = [b"a b c a", b"", b"b d e", b"hidden", b"c"]
+    found = [mixing.word_bins(t.split()) for t in texts]
+    scale = np.linspace(0.5, 2, mixing.TOPIC_BINS)
+    scale[found[3][0]] = 0
+    batch = pa.RecordBatch.from_arrays([pa.array([f[k].tobytes() for f in found], pa.binary()) for k in (0, 1)], ["bins", "times"])
+    dense = np.zeros((len(texts), mixing.TOPIC_BINS))
+    for row, (at, n) in zip(dense, found):
+        row[at] = n * scale[at]
+    dense = dense[[0, 2, 4]]
+    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    (at, block, norm), = mixing._blocks(batch, scale)
+    assert at.tolist() == [0, 2, 4] and len(norm) == 3
+    assert len(block.value) == np.count_nonzero(dense)
+    centres = np.random.default_rng(3).random((2, mixing.TOPIC_BINS))
+    assert np.allclose(block.like(centres), dense @ centres.T)
+    assert np.allclose(block.summed(np.array([1, -1, 1]), 2), [np.zeros(mixing.TOPIC_BINS), dense[0] + dense[2]])
+    assert np.allclose([block.whole(k) for k in range(3)], dense)
+    nothing = next(mixing._blocks(batch.slice(1, 1), scale))[1]
+    assert nothing.like(centres).shape == (0, 2) and not nothing.summed(np.zeros(0, int), 2).any()
