@@ -26,6 +26,18 @@ def test_bitmap_never_misses_a_key_and_is_looked_up_in_pieces(spark):
     assert f", {PIECE})" in plan(found) and f", {WIDE_PIECE})" in plan(told)
 
 
+def test_a_lookup_in_a_bitmap_copies_nothing(spark):
+    rows = spark.range(0, 2_000).selectExpr("id", "id as row")
+    keys = spark.range(0, 2_000, 3)
+    found = mark_among(rows, keys, ["id"])
+    told = may_hold(rows, {"_may": "xxhash64(id)"}, keys.selectExpr("xxhash64(id) as h"))
+    for df in (found, told):
+        assert "substring(" not in plan(df) and "decode" not in plan(df)
+    for slots in ("0L", "63L", "64L", "511L", "512L", "-1L"):  # first and last bits of words, pieces and the bitmap
+        one = may_hold(spark.range(1).selectExpr("0 as row"), {"_same": slots, "_next": f"{slots} + 1"}, spark.range(1).selectExpr(f"{slots} as h")).first()
+        assert one._same and not one._next
+
+
 def test_batches_for_python_are_bounded_by_bytes(spark, tmp_path):
     spark.range(0, 3_000, 1, 1).selectExpr("id", "repeat('x', 20000) as text").write.parquet(f"{tmp_path}/documents.parquet")
 
