@@ -99,6 +99,42 @@ def test_csv_to_messages_keeps_bad_numbers_as_text(spark, tmp_path):
     assert body["schema_version"] == 1 and row.topic == "retail.sales" and row.key == "BR01"
 
 
+def test_messages_are_the_same_whether_written_whole_or_by_field(spark):
+    """One bad number makes a row go field by field; the other fields read the same either way."""
+    numbers = ["0.10", "100.00", "12345678.9", "0.0004", "-0.50", "7", "1e3"]
+    texts = ['Kar"achi', "tab\there", "back\\slash", "Łódź", "\u2028", "plain", "x\u0001y"]
+    rows = [{**event(i), "unit_cost": n, "city": t} for i, (n, t) in enumerate(zip(numbers, texts))]
+    columns = [c for c in rows[0] if c != "schema_version"]
+    table = lambda rs: spark.createDataFrame([tuple(None if r[c] is None else str(r[c]) for c in columns) for r in rs], ", ".join(f"{c} string" for c in columns))
+    body = lambda r: json.loads(r.value)
+    whole = {body(r)["event_id"]: r.value for r in E.encode_events(table(rows)).collect()}
+    pieces = {body(r)["event_id"]: r.value for r in E.encode_events(table([{**r, "quantity": "many"} for r in rows])).collect()}
+    assert {k: v.replace('"quantity":2', '"quantity":"many"') for k, v in whole.items()} == pieces and len(whole) == 7
+    plan = E.encode_events(table(rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json(" in plan.lower() or "structstojson" in plan.lower()
+
+
+def test_streaming_judges_a_batch_once_and_keeps_payloads(spark, tmp_path):
+    src = f"{tmp_path}/src"
+    events = clean_stream() + [{**event(3), "city": "Atlantis", "event_id": "EVT0000099"}, {**event(50), "quantity": -1}, "broken"]
+    messages = raw(spark, events)
+    messages.write.parquet(src)
+    known = V.masters(V.parse_events(messages), RULES)
+    calls, real = [], V.parse_events
+    V.parse_events = lambda *a, **k: calls.append(1) or real(*a, **k)
+    try:
+        landing.validate_stream(landing.message_stream(spark, {"format": "parquet", "path": src}), RULES, NOW, known,
+                                f"{tmp_path}/ok", f"{tmp_path}/bad", f"{tmp_path}/cp").awaitTermination()
+    finally:
+        V.parse_events = real
+    values = {r.kafka_offset: r.value for r in messages.collect()}
+    bad = spark.read.parquet(f"{tmp_path}/bad").collect()
+    assert {r.rule_code for r in bad} >= {"BRANCH_CITY_CONFLICT", "INVALID_QUANTITY", "MALFORMED_PAYLOAD"}
+    assert all(r.raw_payload == values[r.kafka_offset] for r in bad)
+    # What was judged is written once, and gone when the batch is done.
+    assert len(calls) == 1 and spark.read.parquet(f"{tmp_path}/cp-first-pass").count() == 0
+
+
 def test_routing(spark):
     df = spark.createDataFrame([("SALE",), ("DAMAGE",), ("REFUND",), (None,)], "t string").select(E.route(F.col("t")).alias("r"))
     assert [r.r for r in df.collect()] == ["sales", "inventory", "dead_letter", "dead_letter"]
