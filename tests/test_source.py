@@ -17,3 +17,11 @@ def test_source_is_stored_without_event_ids_and_gives_the_same(spark):
     assert tuple(wanted) == tuple(rows.agg(F.count("*"), F.sum(F.xxhash64("event_id").cast("decimal(38,0)"))).first())
     plan = rows.select("product_id", "quantity")._jdf.queryExecution().executedPlan().toString()
     assert "md5" not in plan and "shipped" not in plan
+
+
+def test_accepted_events_are_written_once_for_the_gates(spark):
+    w = Workspace.of(spark, DIR)
+    events = w.clean_events()
+    assert "clean_events" in w.staged and events.count() == w.account().first().accepted
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "try_to_timestamp" not in plan
